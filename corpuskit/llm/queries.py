@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import license_scan, quality_ledger
+from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger
 
 QUERIES = {
+    "op1_source_mixing": mixing.op1_source_mixing,
+    "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op4_language_id": language_id.op4_language_id,
     "op7_license_scan": license_scan.op7_license_scan,
     "op9_quality_ledger": quality_ledger.op9_quality_ledger,
 }
