@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger
+from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, simhash
 
 QUERIES = {
+    "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op1_source_mixing": mixing.op1_source_mixing,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
     "op4_language_id": language_id.op4_language_id,
