@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, simhash
+from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, secret_scan, simhash
 
 QUERIES = {
+    "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op1_source_mixing": mixing.op1_source_mixing,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
