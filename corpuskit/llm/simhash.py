@@ -220,7 +220,7 @@ def near_edges(nodes: DataFrame) -> DataFrame:
         found = edges if found is None else found.unionByName(edges)
         if last or not n_hot:
             break
-        known = [u | m for u in known for m in _blocks(u)]
+        known = sorted({u | m for u in known for m in _blocks(u)})
     return found
 
 
