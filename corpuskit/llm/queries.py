@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, secret_scan, simhash
+from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, secret_scan, simhash, token_scan, topk_search
 
 QUERIES = {
+    "op8_token_counts": token_scan.op8_token_counts,
+    "op6_topk_search": topk_search.op6_topk_search,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -14,4 +16,4 @@ QUERIES = {
     "op9_quality_ledger": quality_ledger.op9_quality_ledger,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_topk_search": topk_search.OP6_SQL}
