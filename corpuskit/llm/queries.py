@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, secret_scan, simhash, token_scan, topk_search
+from corpuskit.llm import language_id, license_scan, mixing, packing, quality_ledger, secret_scan, simhash, suffix_dedup, token_scan, topk_search
 
 QUERIES = {
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op8_token_counts": token_scan.op8_token_counts,
     "op6_topk_search": topk_search.op6_topk_search,
     "op2_secret_scan": secret_scan.op2_secret_scan,
