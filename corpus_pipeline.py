@@ -1,15 +1,66 @@
-"""A training-data pipeline over ``documents``; each stage reads what its predecessor kept."""
+"""A training-data pipeline over ``documents``: language ID, near-dedup, secret scan, source mixing, packing.
+
+Every stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and read again as the next stage's documents.
+All but the last return the columns of documents, whatever further columns there are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuskit.llm import language_id, mixing, packing, secret_scan, simhash
+from corpuskit.llm.common import staged
+
+#: A document whose largest language holds less than this share of its letters has no language to train on.
+LEAST_SHARE = 0.25
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter or without a leading language; fills in missing labels."""
+    model = language_id.fit(docs.select("doc_id", "text", "lang"), ~language_id.held_out())
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = language_id.identify(rows, model, keep=("row",)).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    columns = [F.coalesce("row.lang", "lang_pred").alias(c) if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return found.select(*columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest doc_id of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
+
+
+def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with live-looking credentials that few owners hold."""
+    return secret_scan.without_live_secrets(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes 80 % of the tokens by target weights, each document once at most; the last document of a source stays whole."""
+    rows = mixing.with_levels(docs.select("doc_id", "lang", "source", "text", F.struct(*docs.columns).alias("row"))).drop("text")
+    taken = mixing.mix(rows, mixing.LEVELS, "n_tokens", fraction=0.8, weights=mixing.WEIGHTS, max_epochs=1, carry=("row",))
+    return taken.select("row.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents in training sequences."""
+    return packing.pack_documents(packing.with_keys(docs), "n_tokens", "source", "cluster")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", drop_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: Languages are learned and fingerprints linked step by step; SQL has no form of either.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -96,6 +96,26 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
+def arrow_extend(df: DataFrame, schema: str, fn: Callable[[list], dict[str, list]], text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Add the columns of ``schema`` that ``fn(texts as bytes)`` computes; the ``keep`` columns pass through as Arrow data, whatever their types."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType, _parse_datatype_string
+
+    source = df.select(*keep, F.col(text).cast("string").alias("_text"))
+    new = to_arrow_schema(_parse_datatype_string(schema))
+    whole = StructType([*df.select(*keep).schema.fields, *_parse_datatype_string(schema).fields])
+    n = len(keep)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                made = fn(as_list(part.column(n), True))
+                columns = [part.column(k) for k in range(n)] + [pa.array(made[f.name], type=f.type) for f in new]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *new.names])
+
+    return source.mapInArrow(run, whole)
+
+
 def as_list(column: pa.Array, raw: bool) -> list:
     if not raw:
         return column.to_pylist()

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_map
+from corpuskit.llm.common import arrow_extend
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -207,15 +207,8 @@ def held_out() -> Column:
 
 def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), spans: bool = False) -> DataFrame:
     """``keep`` columns, lang_pred, score and, if asked for, the labelled spans (word positions, end exclusive)."""
-    source = docs.select(*keep, *([] if "text" in keep else ["text"]))
     extra = ", spans array<struct<first_word:bigint,end_word:bigint,lang:string>>" if spans else ""
-    types = dict(source.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + f", lang_pred string, score double{extra}"
-
-    def run(columns):
-        return {c: columns[c] for c in keep} | predict(columns["text"], model, spans)
-
-    return arrow_map(source, schema, run)
+    return arrow_extend(docs, f"lang_pred string, score double{extra}", lambda texts: predict(texts, model, spans), keep=keep)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

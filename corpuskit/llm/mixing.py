@@ -13,8 +13,8 @@ The prefix is found in two steps: the hash range is cut into buckets, whose sums
 the budget runs out, and only documents of that one bucket are ordered. No step sorts a leaf as a whole, so a leaf with a third of
 all rows is spread over many tasks.
 
-Defined results: null texts have no tokens and are never taken; null levels form groups of their own; repeated rows are documents of
-their own, in one place of the order; weights that are missing, or not above 0, count as 1.
+Defined results: null texts have no tokens and are never taken; null levels form groups of their own; rows equal in key and tokens are
+documents of their own in one place of the order, and if the budget runs out there each gives an even part, rounded up; weights that are missing, or not above 0, count as 1.
 """
 
 from __future__ import annotations
@@ -22,11 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import BROADCAST_ROWS, checked_join, staged, unit_hash
+from corpuskit.llm.common import checked_join, staged, unit_hash
 
 #: Rows of a hash bucket, about.
-BUCKET_ROWS = 4_000
-NODE = "node_path"
+BUCKET_ROWS = 500
 
 
 def water_fill(nodes: DataFrame) -> DataFrame:
@@ -110,9 +109,12 @@ def mix(
     edge = sums.withColumn("upto", upto).where("upto >= rest and upto - n < rest").select("leaf", F.col("bucket").alias("cut"), (F.col("upto") - F.col("n")).alias("used"))
     edge = staged(edge, "mix-edge")
     in_edge = checked_join(partial.withColumn("cut", F.col("bucket")), edge, ["leaf", "cut"], "inner", n_leaves, key)
+    places = in_edge.groupBy("leaf", "cut", "used", "rest", "h", key, "n_tokens").agg(F.count(F.lit(1)).alias("copies"))
     order = Window.partitionBy("leaf", "cut").orderBy("h", key, "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = in_edge.withColumn("upto", F.col("used") + F.sum("n_tokens").over(order)).where("upto >= rest and upto - n_tokens < rest")
-    stop = run.select("leaf", F.col("h").alias("stop_h"), F.col(key).alias("stop_key"), F.col("n_tokens").alias("stop_n"), (F.col("n_tokens") - (F.col("upto") - F.col("rest"))).alias("last_take"))
+    here = F.col("n_tokens") * F.col("copies")
+    run = places.withColumn("upto", F.col("used") + F.sum(here).over(order)).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - here < F.col("rest")))
+    part = F.ceil((F.col("rest") - F.col("upto") + here) / F.col("copies")).cast("bigint")
+    stop = run.select("leaf", F.col("h").alias("stop_h"), F.col(key).alias("stop_key"), F.col("n_tokens").alias("stop_n"), part.alias("last_take"))
     stop = stop.groupBy("leaf").agg(*[F.min_by(c, "stop_h").alias(c) for c in ("stop_key", "stop_n", "last_take")], F.min("stop_h").alias("stop_h"))
     deal = staged(plan.join(stop, "leaf", "left"), "mix-deal")
 

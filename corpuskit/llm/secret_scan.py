@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import checked_join, staged
+from corpuskit.llm.common import BROADCAST_ROWS, checked_join, staged
 
 #: (kind, pattern, group of the value, least length of the value); base kinds first, in the order of ties.
 BASE = (
@@ -145,5 +145,14 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
+def without_live_secrets(docs: DataFrame) -> DataFrame:
+    """The documents, less those that hold a live-looking credential of a few owners. Widely copied examples stay."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "source", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).alias("key"))
+    live = scan_secrets(rows, key="key", repo="source").where(F.exists("spans", lambda s: s["verdict"] == "live")).select("key").distinct()
+    live = staged(live, "live")
+    few = F.broadcast(live) if live.count() <= BROADCAST_ROWS else live
+    return rows.select("row", "key").join(few, "key", "left_anti").select("row.*")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")))

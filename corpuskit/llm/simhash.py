@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_map, staged
+from corpuskit.llm.common import arrow_extend, staged
 from corpuskit.llm.components import components
 
 SHINGLE = 4
@@ -57,14 +57,7 @@ def fingerprint(text: bytes | None) -> int:
 
 def fingerprints(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``carry`` columns and ``fp``, the fingerprint as a signed long."""
-    source = docs.select(*carry, *([] if "text" in carry else [F.col("text").cast("string").alias("text")]))
-    types = dict(source.dtypes)
-
-    def run(columns):
-        values = np.array([fingerprint(t) for t in columns["text"]], np.uint64).view(np.int64)
-        return {c: columns[c] for c in carry} | {"fp": values}
-
-    return arrow_map(source, ", ".join(f"`{c}` {types[c]}" for c in carry) + ", fp bigint", run)
+    return arrow_extend(docs, "fp bigint", lambda texts: {"fp": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)}, keep=carry)
 
 
 def _signed(x: int) -> int:
@@ -224,14 +217,31 @@ def near_edges(nodes: DataFrame) -> DataFrame:
     return found
 
 
-def near_duplicates(prints: DataFrame) -> DataFrame:
-    """(doc_id, fp) -> (fp, component_id) for every distinct fingerprint."""
-    #: documents without an id stand above all ids; fingerprints that share such a place differ in two bits at most, so they are linked
+def near_groups(prints: DataFrame) -> DataFrame:
+    """(doc_id, fp) -> (fp, group) for every distinct fingerprint; group is the smallest doc_id, or 2^62 and more if all are null."""
+    # documents without an id stand above all ids; fingerprints that share such a place differ in two bits at most, so they are linked
     nameless = F.shiftrightunsigned("fp", 2).bitwiseOR(F.lit(1 << 62).cast("bigint"))
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).withColumn("rep", F.coalesce("rep", nameless)), "fingerprints")
     labels = components(near_edges(nodes))
-    out = nodes.join(labels, nodes.rep == labels.node, "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
-    return out.withColumn("component_id", F.when(F.col("component_id") < F.lit(1 << 62), F.col("component_id")))
+    return nodes.join(labels, nodes.rep == labels.node, "left").select("fp", F.coalesce("label", "rep").alias("group"))
+
+
+def near_duplicates(prints: DataFrame) -> DataFrame:
+    """(doc_id, fp) -> (fp, component_id) for every distinct fingerprint."""
+    return near_groups(prints).select("fp", F.when(F.col("group") < F.lit(1 << 62), F.col("group")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, less all but one of each group: the one of the smallest doc_id stays; of rows that share it, the first written.
+
+    Rows are numbered as they are written beside their fingerprints, so the choice holds whatever happens to later tasks.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = staged(fingerprints(rows, ("rid", "row", "doc_id")), "fingerprinted")
+    prints = rows.select("rid", "doc_id", "fp")
+    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), F.col("rid").alias("rid"))
+    kept = prints.join(near_groups(prints), "fp").groupBy("group").agg(F.min(order)["rid"].alias("rid"))
+    return rows.join(kept.select("rid"), "rid", "left_semi").select("row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
