@@ -168,8 +168,8 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, p.vec_id AS vec_id, CAST(list_dot_product(q.v, p.v) AS BIGINT) AS score
   FROM v q JOIN v p ON q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id
