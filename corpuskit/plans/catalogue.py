@@ -1,4 +1,8 @@
 """Every query by name, with its DuckDB equivalent."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from corpuskit.plans import text_queries, vector_queries
+
+QUERIES: dict = {**text_queries.QUERIES, **vector_queries.QUERIES}
+ORACLES: dict[str, str] = {**text_queries.ORACLES, **vector_queries.ORACLES}
