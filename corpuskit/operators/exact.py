@@ -50,11 +50,10 @@ def keep_first(hashed: DataFrame, level: str, key: str = "row_id") -> DataFrame:
 
 
 def clusters(hashed: DataFrame, level: str, most: int = 200, key: str = "row_id") -> DataFrame:
-    """(hash, size, first_id, members as text): the ``most`` largest groups. Only their members are gathered."""
+    """(hash, size, first_id, key): the members of the ``most`` largest groups, a row each, so no group is gathered in one place."""
     sizes = hashed.groupBy(F.col(level).alias("hash")).agg(F.count(F.lit(1)).alias("size"), F.min(key).alias("first_id")).where("size > 1")
     top = sizes.orderBy(F.desc("size"), "first_id").limit(most)
-    members = hashed.select(key, F.col(level).alias("hash")).join(F.broadcast(top), "hash")
-    return members.groupBy("hash", "size", "first_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(key)), lambda x: x.cast("string")), ",").alias("members"))
+    return hashed.select(key, F.col(level).alias("hash")).join(F.broadcast(top), "hash").select("hash", "size", "first_id", key)
 
 
 def top_templates(rows: DataFrame, hashed: DataFrame, user: str, n: int = 20) -> DataFrame:

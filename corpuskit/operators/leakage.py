@@ -16,17 +16,16 @@ def flagged(rows: DataFrame, user: str, assistant: str, key: str = "row_id") ->
     return rows.select(key, T.fingerprints(T.filled(user), clean).alias("benchmarks"), T.mentions(user, clean).alias("mention"), T.leaks_rubric(clean).alias("rubric"))
 
 
-def by_benchmark(flags: DataFrame, key: str = "row_id", cap: int | None = 50) -> DataFrame:
-    """(benchmark, rows, sample_ids): how many rows each benchmark flags, and the first ids (all if ``cap`` is None)."""
+def by_benchmark(flags: DataFrame, key: str = "row_id", cap: int = 50) -> DataFrame:
+    """(benchmark, rows, sample_ids): how many rows each benchmark flags, and the first ``cap`` ids (all of them are in ``flags``)."""
     each = flags.select(key, F.explode("benchmarks").alias("benchmark"))
     counts = each.groupBy("benchmark").agg(F.count(F.lit(1)).alias("rows"))
     return counts.join(first_ids(each, "benchmark", cap, key), "benchmark")
 
 
-def first_ids(rows: DataFrame, group: str, cap: int | None, key: str = "row_id") -> DataFrame:
+def first_ids(rows: DataFrame, group: str, cap: int, key: str = "row_id") -> DataFrame:
     """(group, sample_ids as text): the smallest ids of each group. Rank limits apply before the shuffle."""
-    ranked = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(key)))
-    ranked = ranked.where(F.col("_n") <= cap) if cap else ranked
+    ranked = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(key))).where(F.col("_n") <= cap)
     return ranked.groupBy(group).agg(F.array_join(F.transform(F.sort_array(F.collect_list(key)), lambda x: x.cast("string")), ",").alias("sample_ids"))
 
 

@@ -140,8 +140,8 @@ def exact_l3_keep(spark, sf_dir):
 
 
 @query(
-    f"WITH {I.DOCS_SQL}, {_hashes('docs')} SELECT l5 AS hash, count(*) AS size, min(row_id) AS first_id, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY row_id) AS members "
-    "FROM h GROUP BY l5 HAVING count(*) > 1 ORDER BY size DESC, first_id LIMIT 200"
+    f"WITH {I.DOCS_SQL}, {_hashes('docs')}, t AS (SELECT l5 AS hash, count(*) AS size, min(row_id) AS first_id FROM h GROUP BY l5 HAVING count(*) > 1 ORDER BY size DESC, first_id LIMIT 200) "
+    "SELECT hash, size, first_id, row_id FROM h JOIN t ON l5 = hash"
 )
 def exact_clusters_top(spark, sf_dir):
     return exact.clusters(exact.digests(I.documents(spark, sf_dir), "user", "assistant"), "l5")

@@ -29,11 +29,11 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(row_id, value): every line, blank and broken ones too; several files are numbered in the order given."""
     paths = [paths] if isinstance(paths, str) else paths
     out, start = None, 0
-    for p in paths:
+    for k, p in enumerate(paths, 1):
         one = with_row_ids(spark.read.text(p))
         if start:
             one = one.withColumn("row_id", F.col("row_id") + start)
-        if p != paths[-1]:
+        if k < len(paths):
             start += spark.read.text(p).count()
         out = one if out is None else out.unionByName(one)
     return out.select("row_id", "value")
