@@ -28,6 +28,8 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 ROWS_PER_LANGUAGE = 4_000
 SWITCH_PENALTY = 12.0
+#: Bytes whose letters are held at a time.
+PIECE = 1 << 20
 #: A language keeps a script if at least this share of its letters is of it.
 SCRIPT_SHARE = 0.02
 
@@ -92,24 +94,60 @@ class Model:
     allowed: np.ndarray  # scripts x languages
 
 
-def label(words: Words, n_docs: int, model: Model, penalty: float = SWITCH_PENALTY) -> tuple[np.ndarray, np.ndarray]:
-    """The best language of each word under the switching penalty, and the words' scores."""
-    k = len(model.languages)
-    if not len(words.begins):
-        return np.zeros(0, np.int64), np.zeros((0, k), np.float32)
+def pieces(texts: list[bytes | None], most: int) -> list[list[tuple[bytes, int]]]:
+    """(bytes, text index) in groups of about ``most`` bytes. A longer text is cut at spaces; a word beyond all bounds is cut itself."""
+    groups: list[list[tuple[bytes, int]]] = [[]]
+    size = 0
+    for k, t in enumerate(texts):
+        at, t = 0, t or b""
+        while at < len(t):
+            end = at + most
+            if end < len(t):
+                space = max(t.rfind(c, at + 1, end) for c in (b" ", b"\n"))
+                end = space if space > 0 else end
+                while end < len(t) and t[end] & 0xC0 == 0x80:  # not inside of a character
+                    end += 1
+            part = t[at:end]
+            if groups[-1] and size + len(part) > most:
+                groups.append([])
+                size = 0
+            groups[-1].append((part, k))
+            size += len(part)
+            at += len(part)
+    return groups
+
+
+def scored(texts: list[bytes | None], model: Model, most: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(scores by language, letters, text index) of all words in order. Letters are held for one group of pieces at a time."""
+    made = [(np.zeros((0, len(model.languages)), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for group in pieces(texts, most):
+        words = cut([t for t, _ in group])
+        if len(words.begins):
+            made.append((word_scores(words, model), words.sizes, np.array([k for _, k in group])[words.doc]))
+    return tuple(np.concatenate(x) for x in zip(*made))
+
+
+def word_scores(words: Words, model: Model) -> np.ndarray:
     scores = np.add.reduceat(model.weights[words.grams], words.begins, axis=0)
-    scores = np.where(model.allowed[words.scripts], scores, scores.min(axis=1, keepdims=True) - 50.0).astype(np.float32)
-    n_words = np.bincount(words.doc, minlength=n_docs)
+    return np.where(model.allowed[words.scripts], scores, scores.min(axis=1, keepdims=True) - 50.0).astype(np.float32)
+
+
+def label(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = SWITCH_PENALTY) -> np.ndarray:
+    """The best language of each word under the switching penalty. ``doc``: the text of each word, ascending."""
+    if not len(scores):
+        return np.zeros(0, np.int64)
+    k = scores.shape[1]
+    n_words = np.bincount(doc, minlength=n_docs)
     starts = np.cumsum(n_words) - n_words
     own = scores.argmax(axis=1)
     out = own.copy()
     # a text whose words all prefer one language needs no pass: no path beats the one that takes every word's maximum
     varied = np.zeros(n_docs, bool)
-    varied[words.doc[own != own[starts[words.doc]]]] = True
+    varied[doc[own != own[starts[doc]]]] = True
     order = np.flatnonzero(varied)
     order = order[np.argsort(-n_words[order], kind="stable")]
     if not len(order):
-        return out, scores
+        return out
     sizes, begin = n_words[order], starts[order]
     steps = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(steps), "left")  # texts with more than t words
@@ -133,17 +171,16 @@ def label(words: Words, n_docs: int, model: Model, penalty: float = SWITCH_PENAL
         if t:
             kept = stay[at, state[:n]]
             state[:n] = np.where(kept, state[:n], best[at])
-    return out, scores
+    return out
 
 
 def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dict[str, list]:
     n, k = len(texts), len(model.languages)
-    words = cut(texts)
-    if not k or not len(words.begins):
+    scores, sizes, doc = scored(texts, model) if k else (np.zeros((0, 0)),) * 3
+    if not len(scores):
         return {"lang_pred": ["und"] * n, "score": [0.0] * n, "spans": [[] for _ in range(n)]}
-    path, _ = label(words, n, model)
-    letters = np.zeros((n, k))
-    np.add.at(letters, (words.doc, path), words.sizes)
+    path = label(scores, doc, n)
+    letters = np.bincount(doc * k + path, sizes, n * k).reshape(n, k)
     total = letters.sum(axis=1)
     pick = letters.argmax(axis=1)
     score = letters[np.arange(n), pick] / np.maximum(total, 1)
@@ -153,10 +190,10 @@ def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dic
         "spans": [[] for _ in range(n)],
     }
     if spans:
-        first = np.cumsum(np.bincount(words.doc, minlength=n)) - np.bincount(words.doc, minlength=n)
-        edge = np.flatnonzero((np.diff(path, prepend=-1) != 0) | (np.diff(words.doc, prepend=-1) != 0))
+        first = np.cumsum(np.bincount(doc, minlength=n)) - np.bincount(doc, minlength=n)
+        edge = np.flatnonzero((np.diff(path, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
         for a, b in zip(edge, np.append(edge[1:], len(path))):
-            d = words.doc[a]
+            d = doc[a]
             out["spans"][d].append({"first_word": int(a - first[d]), "end_word": int(b - first[d]), "lang": model.languages[path[a]]})
     return out
 
@@ -175,15 +212,16 @@ def fit(docs: DataFrame, usable: Column, rows_per_language: int = ROWS_PER_LANGU
     def tally(batches):
         import pyarrow as pa
 
-        from corpuskit.llm.common import as_list, slices
+        from corpuskit.llm.common import as_list
 
         grams, scripts = np.zeros((len(index), BUCKETS), np.int64), np.zeros((len(index), len(SCRIPT_NAMES)), np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
-                words = cut(as_list(part.column(1), True))
-                lang = np.array([index[g] for g in part.column(0).to_pylist()])[words.doc] if len(words.doc) else words.doc
-                if len(lang):
-                    np.add.at(grams, (np.repeat(lang, words.sizes), words.grams), 1)
+            known = np.array([index[g] for g in batch.column(0).to_pylist()])
+            for group in pieces(as_list(batch.column(1), True), PIECE):
+                words = cut([t for t, _ in group])
+                if len(words.begins):
+                    lang = known[np.array([k for _, k in group])[words.doc]]
+                    grams += np.bincount(np.repeat(lang, words.sizes) * BUCKETS + words.grams, minlength=grams.size).reshape(grams.shape)
                     np.add.at(scripts, (lang, words.scripts), words.sizes)
         a, b = np.nonzero(grams)
         c, d = np.nonzero(scripts)

@@ -41,12 +41,8 @@ def test_viterbi_against_all_paths():
     for _ in range(200):
         sizes = rng.integers(1, 6, 4)
         k = int(rng.integers(2, 4))
-        # one gram per word, whose weights are the word's scores
         weights = rng.normal(size=(int(sizes.sum()), k)).astype(np.float32)
-        n = len(weights)
-        words = L.Words(np.arange(n), np.arange(n), np.ones(n, int), np.zeros(n, int), np.repeat(np.arange(4), sizes))
-        model = L.Model(list("abc"[:k]), weights, np.ones((len(L.SCRIPT_NAMES), k), bool))
-        path, _ = L.label(words, 4, model, penalty=0.7)
+        path = L.label(weights, np.repeat(np.arange(4), sizes), 4, penalty=0.7)
         at = 0
         for size in sizes:
             value = lambda p: sum(weights[at + i, x] for i, x in enumerate(p)) - 0.7 * sum(x != y for x, y in zip(p, p[1:]))  # noqa: B023, E731
@@ -65,3 +61,17 @@ def test_spans_of_mixed_text_and_scripts(spark, documents):
     assert [s["lang"] for s in got["spans"][0]] == ["en", "de", "ru"]
     assert got["spans"][0][-1]["end_word"] - got["spans"][0][-1]["first_word"] == 2
     assert got["lang_pred"][1:] == ["ru", "und", "und"]
+
+
+def test_long_texts_are_scored_in_pieces(spark, documents):
+    model = L.fit(documents, ~L.held_out())
+    texts = [r.text.encode() for r in documents.limit(60).collect()] + [b"", None, "é".encode() * 5000, b"a" * 3000 + b" b"]
+    whole, parts = L.scored(texts, model, 1 << 30), L.scored(texts[:-2], model, 500)
+    n = len(parts[2])
+    assert (whole[2][:n] == parts[2]).all() and (whole[1][:n] == parts[1]).all() and np.allclose(whole[0][:n], parts[0], atol=1e-3)
+    for most in (7, 500, 1 << 20):
+        back = [b""] * len(texts)
+        for t, k in [x for g in L.pieces(texts, most) for x in g]:
+            t.decode()
+            back[k] += t
+        assert back == [t or b"" for t in texts]
