@@ -1,12 +1,13 @@
 """n-gram decontamination against benchmark texts.
 
-Both sides become rows of distinct gram digests and meet in an equi-join on the digest. The benchmark side is broadcast only if it was
-counted and is small; otherwise both sides are shuffled on the digest.
+Both sides become rows of gram hashes (128 bits, taken from the words themselves, so no gram is built as text) and meet in an equi-join.
+The benchmark side is broadcast only if it was counted and is small; otherwise both sides are shuffled on the hashes. Repeated grams of a
+row are told apart after the join, where few are left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as T
@@ -16,14 +17,41 @@ SIZE, MIN_OVERLAP = 13, 1
 BROADCAST_ROWS = 200_000
 
 
+GRAM = ["h1", "h2"]
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value bound to a lambda variable; a column that is read at several places would be computed as often."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _combined(parts: Column, step: int, swap: bool = False) -> Column:
+    """Hashes of parts that stand ``step`` apart; none if there are too few."""
+    pair = lambda i: (parts[i + step], parts[i]) if swap else (parts[i], parts[i + step])
+    return F.when(F.size(parts) > step, F.transform(F.sequence(F.lit(0), F.size(parts) - 1 - step), lambda i: F.xxhash64(*pair(i))))
+
+
 def grams(rows: DataFrame, text: str, keys: list[str], n: int = SIZE) -> DataFrame:
-    """``keys`` and the distinct digests of each row's n-grams."""
-    words = rows.select(*keys, T.tokens(T.canonical_ngrams(T.filled(text))).alias("w")).where(F.size("w") >= n)
-    return words.select(*keys, F.explode(F.array_distinct(F.transform(T.ngrams(F.col("w"), n), T.gram_digest))).alias("gram"))
+    """``keys`` and the hashes (h1, h2) of each row's n-grams, repeats included.
+
+    Words are hashed once; hashes of 2, 4, 8, ... words follow from halves, and those of n words from two that overlap.
+    """
+
+    def finish(halves: Column, size: int) -> Column:
+        if n == size:
+            return F.transform(halves, lambda h: F.struct(h.alias("h1"), F.xxhash64(F.lit(1), h).alias("h2")))
+        h1, h2 = _combined(halves, n - size), _combined(halves, n - size, swap=True)
+        return F.arrays_zip(h1.alias("h1"), h2.alias("h2"))
+
+    def grow(parts: Column, size: int) -> Column:
+        return _once(_combined(parts, size), lambda p: grow(p, 2 * size)) if 2 * size <= n else finish(parts, size)
+
+    words = F.transform(T.tokens(T.canonical_ngrams(T.filled(text))), lambda x: F.xxhash64(x))
+    return rows.select(*keys, F.explode(_once(words, lambda w: grow(w, 1))).alias("g")).select(*keys, "g.h1", "g.h2")
 
 
 def benchmark_grams(benchmarks: DataFrame, text: str = "text", n: int = SIZE) -> DataFrame:
-    """Distinct (benchmark, gram)."""
+    """Distinct (benchmark, h1, h2)."""
     return grams(benchmarks, text, ["benchmark"], n).distinct()
 
 
@@ -31,7 +59,8 @@ def hits(rows: DataFrame, benchmarks: DataFrame, key: str = "row_id", text: str
     """(key, benchmark, overlap): rows that share at least ``least`` distinct grams with a benchmark."""
     known = staged(benchmark_grams(benchmarks, n=n), "benchmark-grams")
     side = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
-    return grams(rows, text, [key], n).join(side, "gram").groupBy(key, "benchmark").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= least)
+    shared = grams(rows, text, [key], n).join(side, GRAM).select(key, "benchmark", *GRAM).distinct()
+    return shared.groupBy(key, "benchmark").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= least)
 
 
 def decontaminated(rows: DataFrame, found: DataFrame, key: str = "row_id") -> DataFrame:
