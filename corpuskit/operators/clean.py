@@ -32,8 +32,7 @@ def funnel(rows: DataFrame, sets: dict[str, DataFrame], key: str = "row_id") ->
     """(step, stage, rows): what is left after each removal set, in order. One pass over the log."""
     names = list(sets)
     first = reduce(DataFrame.unionByName, [df.select(key, F.lit(k).alias("k")) for k, df in enumerate(sets.values(), 1)]).groupBy(key).agg(F.min("k").alias("k"))
-    lost = first.agg(*[F.count_if(F.col("k") <= k).alias(f"lost{k}") for k in range(1, len(names) + 1)])
-    all_ = rows.agg(F.count(F.lit(1)).alias("n")).crossJoin(lost)  # one row each
-    steps = [F.struct(F.lit(0).alias("step"), F.lit("source").alias("stage"), F.col("n").alias("rows"))]
-    steps += [F.struct(F.lit(k).alias("step"), F.lit(f"after_{n}").alias("stage"), (F.col("n") - F.col(f"lost{k}")).alias("rows")) for k, n in enumerate(names, 1)]
-    return all_.select(F.explode(F.array(*steps)).alias("x")).select("x.*")
+    lost = first.agg(*[F.count_if(F.col("k") <= k) for k in range(1, len(names) + 1)]).first()
+    total = rows.count()
+    steps = [(0, "source", total)] + [(k, f"after_{n}", total - lost[k - 1]) for k, n in enumerate(names, 1)]
+    return rows.sparkSession.createDataFrame(steps, "step int, stage string, rows bigint")

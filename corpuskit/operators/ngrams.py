@@ -70,11 +70,8 @@ def decontaminated(rows: DataFrame, found: DataFrame, key: str = "row_id") -> Da
 def report(rows: DataFrame, benchmarks: DataFrame, found: DataFrame, key: str = "row_id", n: int = SIZE) -> DataFrame:
     """(metric, benchmark, value): rows, kept, removed; grams and removed rows per benchmark."""
     named = lambda df, metric: df.select(F.lit(metric).alias("metric"), "benchmark", F.col("value").cast("bigint").alias("value"))
-    nobody = F.lit("").alias("benchmark")
-    total, gone = rows.agg(F.count(F.lit(1)).alias("n")), found.agg(F.countDistinct(key).alias("r"))
-    both = total.crossJoin(gone)  # one row each
-    out = both.select(F.explode(F.create_map(F.lit("rows"), "n", F.lit("removed"), "r", F.lit("kept"), F.col("n") - F.col("r"))).alias("metric", "value"), nobody)
-    out = out.select("metric", "benchmark", F.col("value").cast("bigint").alias("value"))
+    total, gone = rows.count(), found.agg(F.countDistinct(key)).first()[0]
+    out = rows.sparkSession.createDataFrame([("rows", "", total), ("removed", "", gone), ("kept", "", total - gone)], "metric string, benchmark string, value bigint")
     sizes = benchmark_grams(benchmarks, n=n).groupBy("benchmark").agg(F.count(F.lit(1)).alias("value"))
     lost = found.groupBy("benchmark").agg(F.countDistinct(key).alias("value"))
     return out.unionByName(named(sizes, "grams")).unionByName(named(lost, "removed_by"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions import patterns as P
 from corpuskit.functions import text as T
+from corpuskit.staging import staged
 
 SELF_BINS = (0, 0.5, 0.7, 0.8, 0.85, 0.90, 0.93, 0.95, 0.96, 0.97, 0.98, 0.99, 1.01)
 LEAK_BINS = (0, 0.5, 0.6, 0.7, 0.8, 0.85, 0.88, 0.90, 0.93, 0.96, 0.99, 1.01)
@@ -55,11 +56,42 @@ def edge_histogram(rows: DataFrame, value: Column, edges: tuple[float, ...]) ->
     return one.select(F.explode(rows_).alias("x")).select("x.*")
 
 
-def percentiles(rows: DataFrame, value: Column) -> DataFrame:
-    """mean, max and exact p50, p90, p95, p99 with linear interpolation."""
-    p = F.percentile(value, F.array(*[F.lit(x) for x in (0.5, 0.9, 0.95, 0.99)]))
-    out = rows.agg(F.avg(value).alias("mean"), F.max(value).alias("max"), p.alias("p"))
-    return out.select("mean", "max", *[F.col("p")[k].alias(n) for k, n in enumerate(("p50", "p90", "p95", "p99"))])
+def percentiles(rows: DataFrame, value: Column, ranges: int = 4_096, most: int = 20_000) -> DataFrame:
+    """mean, max and exact p50, p90, p95, p99 with linear interpolation, as one row.
+
+    Counts of value ranges find the range of each rank, and ranges with more than ``most`` values are cut again; so no task and not the
+    driver sees more than ``ranges`` counts or ``most`` values at a time, however many values there are.
+    """
+    spark = rows.sparkSession
+    v = staged(rows.select(value.cast("double").alias("v")).where("v is not null"), "values")
+    n, mean, low, high = v.agg(F.count(F.lit(1)), F.avg("v"), F.min("v"), F.max("v")).first()
+    names = ("p50", "p90", "p95", "p99")
+    if not n:
+        return spark.createDataFrame([(None,) * 6], "mean double, max double, " + ", ".join(f"{x} double" for x in names))
+    at = [p * (n - 1) for p in (0.5, 0.9, 0.95, 0.99)]
+    wanted = {int(x) for x in at} | {min(n - 1, int(x) + 1) for x in at}
+    found = _at_ranks(v, wanted, 0, low, high, n, ranges, most)
+    made = [found[int(x)] + (found[min(n - 1, int(x) + 1)] - found[int(x)]) * (x - int(x)) for x in at]
+    return spark.createDataFrame([(mean, high, *made)], "mean double, max double, " + ", ".join(f"{x} double" for x in names))
+
+
+def _at_ranks(v: DataFrame, wanted: set[int], before: int, low: float, high: float, n: int, ranges: int, most: int) -> dict[int, float]:
+    """rank -> value, for ranks among the ``n`` values from ``low`` to ``high``, of which ``before`` are smaller."""
+    if low == high:
+        return dict.fromkeys(wanted, low)
+    inside = v.where(F.col("v").between(low, high))
+    if n <= most:
+        values = [r.v for r in inside.orderBy("v").collect()]
+        return {r: values[r - before] for r in wanted}
+    part = F.least(F.floor((F.col("v") - low) / (high - low) * ranges), F.lit(ranges - 1))
+    counts = inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("p").collect()
+    out: dict[int, float] = {}
+    for r in counts:
+        here = {k for k in wanted if before <= k < before + r.n}
+        if here:
+            out |= _at_ranks(v, here, before, r.low, r.high, r.n, ranges, most)
+        before += r.n
+    return out
 
 
 def top_counts(rows: DataFrame, key: Column, n: int | None = None) -> DataFrame:

@@ -11,9 +11,14 @@ def by_task(rows: DataFrame, task: str, run: str, score: Column) -> DataFrame:
 
 
 def distribution(rows: DataFrame, key: Column) -> DataFrame:
-    """(key, rows, share) by one aggregation and a join with its own one-row total."""
-    counts = rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.crossJoin(rows.agg(F.count(F.lit(1)).alias("_all"))).select("key", "rows", (F.col("rows") / F.col("_all")).alias("share"))
+    """(key, rows, share of all rows)."""
+    return _with_share(rows.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("rows")), "rows", 1.0, "share")
+
+
+def _with_share(counts: DataFrame, value: str, scale: float, name: str, total: int | None = None) -> DataFrame:
+    """Adds ``value`` over the total, times ``scale``; the total of a table of counts is one number, so it travels as a literal."""
+    total = counts.agg(F.sum(value)).first()[0] if total is None else total
+    return counts.withColumn(name, F.col(value) * F.lit(scale) / F.lit(float(total or 1)))
 
 
 def status_pivot(rows: DataFrame, dataset: str, status: str, values: list[str]) -> DataFrame:
@@ -33,11 +38,10 @@ def leaderboard(rows: DataFrame, keys: list[str], score: Column, threshold: floa
 
 def share_table(counts: DataFrame, label: str, value: str) -> DataFrame:
     """(label, value, percent) of a small table of counts, for charts."""
-    total = counts.agg(F.sum(value).alias("_all"))
-    return counts.crossJoin(total).select(F.col(label).alias("label"), F.col(value).alias("value"), (F.col(value) * 100.0 / F.col("_all")).alias("percent"))
+    return _with_share(counts.select(F.col(label).alias("label"), F.col(value).alias("value")), "value", 100.0, "percent")
 
 
 def flag_shares(counters: DataFrame, flags: list[str]) -> DataFrame:
     """(label, value, percent of rows) of profile counters."""
-    rows = counters.where("metric = 'rows'").select(F.col("value").alias("_all"))
-    return counters.where(F.col("metric").isin(*flags)).crossJoin(rows).select(F.col("metric").alias("label"), "value", (F.col("value") * 100.0 / F.col("_all")).alias("percent"))
+    rows = counters.where("metric = 'rows'").first()["value"]
+    return _with_share(counters.where(F.col("metric").isin(*flags)).select(F.col("metric").alias("label"), "value"), "value", 100.0, "percent", rows)

@@ -113,6 +113,13 @@ def test_histogram_edges(spark):
 def test_percentiles_and_moments(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (10.0,)], "v double")
     assert round(profile.percentiles(df, F.col("v")).first().p90, 6) == 8.4
+    import numpy as np
+
+    values = [float(x) for x in np.random.default_rng(0).choice([0.0, 1.5, *np.random.default_rng(1).normal(size=300)], 900)]
+    many = spark.createDataFrame([(x,) for x in values], "v double")
+    got = profile.percentiles(many, F.col("v"), ranges=5, most=20).first()
+    assert np.allclose([got.p50, got.p90, got.p95, got.p99], np.percentile(values, [50, 90, 95, 99]))
+    assert profile.percentiles(many.limit(0), F.col("v")).first().p50 is None
     m = profile.moments(df, {"v": F.col("v")}).first()
     assert (m["count"], round(m.std, 4), m.min, m.max, m.total) == (3, 4.0277, 1.0, 10.0, 13.0)
 
