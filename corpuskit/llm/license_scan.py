@@ -94,26 +94,42 @@ def fuzzy_hits(line: str, notices: tuple = NOTICES) -> list[tuple[int, int, int,
     return sorted(set(found), key=lambda x: (x[1], x[0], x[2]))
 
 
+class Places:
+    """Words before a place of a space-joined line, for places that mostly ascend: only what lies between is counted."""
+
+    def __init__(self, line, space):
+        self.line, self.space, self.at, self.n = line, space, 0, 0
+
+    def __call__(self, at: int) -> int:
+        if at < self.at:
+            self.n -= self.line.count(self.space, at, self.at)
+        else:
+            self.n += self.line.count(self.space, self.at, at)
+        self.at = at
+        return self.n
+
+
 def scan_text(text: bytes | None, phrases: tuple = PHRASES, notices: tuple = NOTICES) -> tuple[int, list[tuple]]:
     words = words_of(text or b"")
     line = b" " + b" ".join(words) + b" "
     hits = []
     for phrase, label in phrases:
-        needle, n = b" " + phrase.encode() + b" ", phrase.count(" ")
+        needle, n, place = b" " + phrase.encode() + b" ", phrase.count(" "), Places(line, b" ")
         at = line.find(needle)
         while at >= 0:
-            first = line.count(b" ", 0, at)
+            first = place(at)
             hits.append((label, "phrase", first, first + n, 0, 1.0))
             at = line.find(needle, at + 1)
     if notices and len(words) > 1:
         flat = line[1:-1].decode("utf-8", "replace")
+        place = Places(flat, " ")
         for k, a, b, edits in fuzzy_hits(flat, notices):
             label, notice, _ = notices[k]
             while a < b and flat[a] == " ":
                 a += 1
             while b > a and flat[b - 1] == " ":
                 b -= 1
-            hits.append((label, "notice", flat.count(" ", 0, a), flat.count(" ", 0, b), edits, 1.0 - edits / len(notice)))
+            hits.append((label, "notice", place(a), place(b), edits, 1.0 - edits / len(notice)))
     return len(words), hits
 
 
