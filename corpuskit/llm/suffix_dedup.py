@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import BROADCAST_ROWS, arrow_map, as_list, slices, staged
+from corpuskit.llm.common import BROADCAST_ROWS, arrow_map, as_list, drop_staged, slices, staged
 from corpuskit.llm.repeat_index import GRAM, gram_hashes, repeated_ranges, segments
 
 WINDOW = 400
@@ -160,6 +160,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     grams = cut.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("sh").alias("low"), F.max("sh").alias("high"), F.max("twice").alias("twice"))
     grams = grams.where((F.col("n") > 1) | F.col("twice")).select("v", ((F.col("low") != F.col("high")) | F.col("twice")).alias("mixed"))
     shared = staged(cut.drop("twice").join(grams, "v"), "shared-segments")
+    drop_staged(cut)
 
     kinds = shared.groupBy("v", "sh").agg(F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"), F.max("mixed").alias("mixed"), F.min(F.struct("did", "t64", "at")).alias("rep"))
     kinds = staged(kinds, "segment-kinds")
@@ -172,18 +173,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     wanted = mixed.select(F.col("rep.did").alias("did"), F.col("rep.t64").alias("t64"), F.struct("v", "sh", F.col("rep.at").alias("at"), size.alias("size")).alias("w"))
     wanted = wanted.groupBy("did", "t64").agg(F.collect_list("w").alias("wanted"))
     strings = docs.select("did", "t64", "text").join(wanted, ["did", "t64"]).select("text", "wanted").mapInArrow(_strings_of, "v bigint, sh bigint, s binary")
-    cold = strings
+    cold, used = strings, []
     if n_hot:
         strings = staged(strings.dropDuplicates(["v", "sh"]), "segment-texts")
         few = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
         cold = strings.join(few, "v", "left_anti")
         each = strings.join(few, "v", "left_semi").select("v", "sh", "s").mapInArrow(_window_hashes(window), "v bigint, sh bigint, off bigint, h1 bigint, h2 bigint")
         each = staged(each, "window-hashes")
+        used = [strings, each]
         twice = each.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
         runs = each.join(twice, ["h1", "h2"]).select("v", "sh", "off").groupBy("v", "sh").agg(F.collect_list(F.struct(F.col("off").alias("a"), (F.col("off") + window).alias("b"))).alias("ranges"))
         marks = marks.unionByName(runs)
     indexed = cold.select("v", "sh", "s").repartition("v").sortWithinPartitions("v", "sh").mapInArrow(_indexed(window), RANGES)
     marks = staged(marks.unionByName(indexed), "marks")
+    for done in (kinds, hot, *used):
+        drop_staged(done)
 
     # a segment that many texts hold has many rows on the left and two at most on the right; adaptive execution splits the left
     spans = shared.join(marks, ["v", "sh"]).select("did", "t64", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b"))).alias("ranges"))
