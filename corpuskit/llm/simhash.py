@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_extend, staged
+from corpuskit.llm.common import arrow_extend, drop_staged, staged
 from corpuskit.llm.components import components
 
 SHINGLE = 4
@@ -188,9 +188,12 @@ def _bucket_edges(batches):
 
 
 def near_edges(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between ``rep`` values that connect the same components as all links within RADIUS. ``nodes``: distinct fp, rep."""
+    """Edges (a, b) between ``rep`` values that connect the same components as all links within RADIUS. ``nodes``: distinct fp, rep.
+
+    The edges are written; the buckets they come from are deleted.
+    """
     rows = nodes.select("fp", "rep", F.lit(0).cast("bigint").alias("bucket"), F.lit(0).cast("bigint").alias("used"))
-    known, found = [0], None
+    known, found, used = [0], None, []
     for depth in range(DEPTH):
         masks = F.create_map(*[x for u in known for x in (F.lit(_signed(u)).cast("bigint"), F.array(*[F.lit(_signed(m)).cast("bigint") for m in _blocks(u)]))])
         dealt = rows.withColumn("mask", F.explode(masks[F.col("used")]))
@@ -198,7 +201,9 @@ def near_edges(nodes: DataFrame) -> DataFrame:
             "fp", "rep", F.xxhash64("bucket", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"), F.col("used").bitwiseOR(F.col("mask")).alias("used")
         )
         last = depth == DEPTH - 1
-        dealt = dealt if last else staged(dealt, "buckets")
+        if not last:
+            dealt = staged(dealt, "buckets")
+            used.append(dealt)
         cold = dealt
         if not last:
             hot = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
@@ -214,6 +219,9 @@ def near_edges(nodes: DataFrame) -> DataFrame:
         if last or not n_hot:
             break
         known = sorted({u | m for u in known for m in _blocks(u)})
+    found = staged(found, "links")
+    for table in used:
+        drop_staged(table)
     return found
 
 
