@@ -125,3 +125,28 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = build_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     out = apply_policy(apply_policy(ledger, "web-2"), "base-1", "passed")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("passed")).alias("base_failed"), "kept", "failed")
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+line AS (SELECT rid, unnest(string_split(t, chr(10))) AS x FROM d),
+lines AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY rid),
+start AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
+gram AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, list_slice(ws, i, i + 2)) AS c FROM start),
+place AS (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM gram WHERE c > 1),
+twice AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM place GROUP BY rid),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS n_letters
+  FROM w LEFT JOIN lines USING (rid) LEFT JOIN twice USING (rid)
+), f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CAST((n_words < 50) AS BIGINT) + 2 * CAST((100 * n_repeat_words > 50 * n_words) AS BIGINT) + 4 * CAST((100 * n_symbols > 25 * n_words) AS BIGINT)
+    + 8 * CAST((100 * n_dup_lines > 50 * n_lines) AS BIGINT) + 16 * CAST((100 * n_upper > 60 * n_letters) AS BIGINT)
+    + 32 * CAST((word_chars > 14 * n_words) AS BIGINT) + 64 * CAST((word_chars < 2 * n_words) AS BIGINT) AS failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed = 0 AS kept, failed FROM f
+"""

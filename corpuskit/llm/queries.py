@@ -17,4 +17,4 @@ QUERIES = {
     "op9_quality_ledger": quality_ledger.op9_quality_ledger,
 }
 
-ORACLES: dict[str, str] = {"op6_topk_search": topk_search.OP6_SQL}
+ORACLES: dict[str, str] = {"op6_topk_search": topk_search.OP6_SQL, "op9_quality_ledger": quality_ledger.OP9_SQL}
