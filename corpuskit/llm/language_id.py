@@ -27,6 +27,8 @@ from corpuskit.llm.common import arrow_extend
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 ROWS_PER_LANGUAGE = 4_000
+#: At most so many languages are learned, the most frequent first; it bounds the model that tasks are sent.
+LANGUAGES = 256
 SWITCH_PENALTY = 12.0
 #: Bytes whose letters are held at a time.
 PIECE = 1 << 20
@@ -201,11 +203,13 @@ def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dic
 def fit(docs: DataFrame, usable: Column, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from ``text`` and non-null ``lang`` of the documents for which ``usable`` holds."""
     docs = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    top = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in top.collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
     share = F.create_map(*[F.lit(x) for g in languages for x in (g, min(1.0, rows_per_language / counts[g]))])
+    docs = docs.where(F.col("lang").isin(languages))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text")
     index = {g: i for i, g in enumerate(languages)}
 

@@ -36,6 +36,12 @@ def test_odd_rows(spark, odd, none, documents):
     assert {r.lang_pred for r in L.identify(odd, empty).collect()} == {"und"}
 
 
+def test_number_of_languages_is_bounded(documents, monkeypatch):
+    monkeypatch.setattr(L, "LANGUAGES", 2)
+    counts = {r.lang: r["count"] for r in documents.where(~L.held_out()).groupBy("lang").count().collect()}
+    assert L.fit(documents, ~L.held_out()).languages == sorted(sorted(counts, key=lambda g: (-counts[g], g))[:2])
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(0)
     for _ in range(200):
