@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from corpuskit.functions import text as T
 
 INSTANCE_METRICS = ("exact_match", "num_completion_tokens", "inference_runtime", "alrage_score")
+#: Fixed values of stored runs: the evaluator's name for a run in its configuration, and the judges.
+RUN_NAME_KEY = "helm_run_name"
+EXACT_JUDGE, MODEL_JUDGE = "helm_exact_match", "openai/gpt-4o-2024-11-20"
 RUN_METRICS = ("exact_match", "quasi_exact_match", "prefix_exact_match", "alrage_score")
 
 STAT = "struct<name:struct<name:string>,mean:double,sum:double>"
@@ -74,8 +77,8 @@ def runs(specs: DataFrame, metrics: DataFrame, totals: DataFrame, suite: str, co
     """One row per run directory. ``specs``: run_dir and RUN_SPEC; ``totals``: run_dir, total_samples."""
     model = F.coalesce(F.col("adapter_spec.model"), F.lit("unknown"))
     scenario = F.coalesce(F.col("scenario_spec.class_name"), F.lit(""))
-    config = F.to_json(F.struct(F.lit(suite).alias("suite"), F.lit(commit).alias("git_commit"), F.lit(branch).alias("git_branch"), "adapter_spec", "scenario_spec", F.coalesce("name", F.lit("")).alias("run_name")))
-    judge = F.when(F.lower(scenario).contains("alrage"), "openai/gpt-4o-2024-11-20").otherwise("exact_match")
+    config = F.to_json(F.struct(F.lit(suite).alias("suite"), F.lit(commit).alias("git_commit"), F.lit(branch).alias("git_branch"), "adapter_spec", "scenario_spec", F.coalesce("name", F.lit("")).alias(RUN_NAME_KEY)))
+    judge = F.when(F.lower(scenario).contains("alrage"), MODEL_JUDGE).otherwise(EXACT_JUDGE)
     rows = specs.select(
         "run_dir", F.coalesce("name", F.lit("")).alias("run_name"), model.alias("model_name"), T.task_of(scenario, F.coalesce("name", F.lit("unknown"))).alias("task_name"),
         judge.alias("judge_model"), F.lit("completed").alias("status"), config.alias("config"), T.is_thinking_model(model, F.col("adapter_spec.reasoning_effort")).alias("is_thinking_model"),

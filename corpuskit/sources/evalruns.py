@@ -50,9 +50,9 @@ def stored_runs(spark: SparkSession, path: str) -> DataFrame:
     """(id, run_name) of the run table, by the name in its configuration document; empty if there is no table yet."""
     if not exists(spark, path):
         return spark.createDataFrame([], "id int, run_name string")
-    return spark.read.parquet(path).select("id", F.get_json_object("config", "$.run_name").alias("run_name"))
+    return spark.read.parquet(path).select("id", F.get_json_object("config", f"$.{evalstore.RUN_NAME_KEY}").alias("run_name"))
 
 
 def stored_runs_jdbc(spark: SparkSession, url: str, table: str = "eval_runs", **options) -> DataFrame:
     """The same over JDBC, where a driver is on the class path."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select("id", F.get_json_object(F.col("config").cast("string"), "$.run_name").alias("run_name"))
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select("id", F.get_json_object(F.col("config").cast("string"), f"$.{evalstore.RUN_NAME_KEY}").alias("run_name"))
