@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -139,6 +140,24 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
     yield batch.slice(begin)
 
 
+_SPACE = re.compile(rb"[\x09-\x0d\x20]")
+
+
+def space_pieces(data: bytes, most: int = 1 << 20) -> Iterator[bytes]:
+    """Cut at white space into pieces of about ``most`` bytes, so that lists of words stay short however long a text is."""
+    at = 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + most) if at + most < len(data) else None
+        end = cut.start() if cut else len(data)
+        yield data[at:end]
+        at = end
+
+
+def one_spaced(data: bytes) -> bytes:
+    """The words of ``data`` with single spaces between them."""
+    return b" ".join(line for line in (b" ".join(p.split()) for p in space_pieces(data)) if line)
+
+
 def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int, salt_by: Column | str, salts: int = 16) -> DataFrame:
     """Join a large ``left`` that may hold hot keys with a ``right`` of ``rows`` rows that was counted before.
 

@@ -18,7 +18,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_map
+from corpuskit.llm.common import arrow_map, one_spaced
 
 #: (phrase, label)
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -48,9 +48,9 @@ _TO_SPACE = bytes.maketrans(_BREAKS, b" " * len(_BREAKS))
 HITS = "doc_id bigint, n_words bigint, hits array<struct<label:string,method:string,first_word:bigint,last_word:bigint,edits:int,score:double>>"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs of digits, letters a-z (A-Z lowered) and everything beyond ASCII."""
-    return text.lower().translate(_TO_SPACE).split()
+def words_of(text: bytes) -> bytes:
+    """Runs of digits, letters a-z (A-Z lowered) and everything beyond ASCII, with single spaces between them."""
+    return one_spaced(text.lower().translate(_TO_SPACE))
 
 
 @lru_cache(maxsize=8)
@@ -111,7 +111,8 @@ class Places:
 
 def scan_text(text: bytes | None, phrases: tuple = PHRASES, notices: tuple = NOTICES) -> tuple[int, list[tuple]]:
     words = words_of(text or b"")
-    line = b" " + b" ".join(words) + b" "
+    n_words = words.count(b" ") + 1 if words else 0
+    line = b" " + words + b" "
     hits = []
     for phrase, label in phrases:
         needle, n, place = b" " + phrase.encode() + b" ", phrase.count(" "), Places(line, b" ")
@@ -120,7 +121,7 @@ def scan_text(text: bytes | None, phrases: tuple = PHRASES, notices: tuple = NOT
             first = place(at)
             hits.append((label, "phrase", first, first + n, 0, 1.0))
             at = line.find(needle, at + 1)
-    if notices and len(words) > 1:
+    if notices and n_words > 1:
         flat = line[1:-1].decode("utf-8", "replace")
         place = Places(flat, " ")
         for k, a, b, edits in fuzzy_hits(flat, notices):
@@ -130,7 +131,7 @@ def scan_text(text: bytes | None, phrases: tuple = PHRASES, notices: tuple = NOT
             while b > a and flat[b - 1] == " ":
                 b -= 1
             hits.append((label, "notice", place(a), place(b), edits, 1.0 - edits / len(notice)))
-    return len(words), hits
+    return n_words, hits
 
 
 def scan_licenses(docs: DataFrame, phrases: tuple = PHRASES, notices: tuple = NOTICES) -> DataFrame:
