@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_extend, drop_staged, staged
+from corpuskit.llm.common import arrow_extend, drop_staged, one_spaced, staged
 from corpuskit.llm.components import components
 
 SHINGLE = 4
@@ -31,27 +31,28 @@ RADIUS = 4
 BUCKET_ROWS = 4_096
 DEPTH = 4
 SEED = 42
+#: Shingles of a text that are hashed at a time.
+CHUNK = 1 << 14
 _ALL = (1 << 64) - 1
 
 
 def fingerprint(text: bytes | None) -> int:
     import xxhash
 
-    words = (text or b"").lower().split()
-    if not words:
+    line = one_spaced((text or b"").lower())
+    if not line:
         return 0
     digest = xxhash.xxh64_intdigest
-    if len(words) <= SHINGLE:
-        return digest(b" ".join(words), SEED)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    begins = np.concatenate(([0], ends[:-1] + 1))
-    n = len(words) - SHINGLE + 1
-    values = np.array([digest(line[a:b], SEED) for a, b in zip(begins[:n].tolist(), ends[SHINGLE - 1 :].tolist())], np.uint64)
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    n = len(spaces) + 2 - SHINGLE
+    if n <= 1:
+        return digest(line, SEED)
+    begins, ends = np.concatenate(([0], spaces + 1))[:n], np.append(spaces, len(line))[SHINGLE - 1 :]
     counts = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 14):
-        part = values[at : at + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.uint32)
+    for at in range(0, n, CHUNK):
+        places = zip(begins[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist())
+        values = np.array([digest(line[a:b], SEED) for a, b in places], np.uint64)
+        counts += np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint32)
     return int(np.packbits(2 * counts > n).view(">u8")[0])
 
 
