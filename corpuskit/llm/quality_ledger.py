@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_map
+from corpuskit.llm.common import arrow_map, space_pieces
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
 
@@ -37,22 +37,27 @@ POLICIES = {
 
 _SYMBOLS = b"#*$%&|<>"
 _INNER = bytes(range(0x80, 0xC0))
+_BLANK = b"\t\n\x0b\x0c\r "
 _UPPER = bytes(range(0x41, 0x5B))
 _LETTERS = _UPPER + bytes(range(0x61, 0x7B))
 
 
-def repeat_words(words: list[bytes], window: int = 3) -> int:
+def word_ids(text: bytes) -> tuple[np.ndarray, int]:
+    """The words of a text as numbers, equal words alike, and how many different ones there are."""
+    ids: dict[bytes, int] = {}
+    parts = [np.array([ids.setdefault(w, len(ids)) for w in piece.split()], np.int64) for piece in space_pieces(text)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64), len(ids)
+
+
+def repeat_words(words: np.ndarray, different: int, window: int = 3) -> int:
     """Words that stand in a window of three found twice or more in the text."""
     n = len(words)
     if n < window + 1:
         return 0
-    ids: dict[bytes, int] = {}
-    w = np.array([ids.setdefault(x, len(ids)) for x in words], np.int64)
-    v = len(ids)
-    pair = w[:-1] * v + w[1:]
-    if v > 2_000_000:  # three numbers no longer fit into 63 bits
+    pair = words[:-1] * different + words[1:]
+    if different > 2_000_000:  # three numbers no longer fit into 63 bits
         pair = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-    key = pair[:-1] * v + w[2:]
+    key = pair[:-1] * different + words[2:]
     _, back, count = np.unique(key, return_inverse=True, return_counts=True)
     twice = count[back] > 1
     covered = np.zeros(n, bool)
@@ -63,9 +68,8 @@ def repeat_words(words: list[bytes], window: int = 3) -> int:
 
 def measure(text: bytes | None) -> tuple[int, ...]:
     text = text or b""
-    words = text.split()
     size = len(text)
-    blank = size - sum(map(len, words))
+    words, different = word_ids(text)
     seen: set[bytes] = set()
     lines = dup = 0
     for line in text.split(b"\n"):
@@ -74,7 +78,7 @@ def measure(text: bytes | None) -> tuple[int, ...]:
             dup += line in seen
             seen.add(line)
     return (
-        len(words), len(text.translate(None, _INNER)) - blank, size - len(text.translate(None, _SYMBOLS)), dup, repeat_words(words),
+        len(words), len(text.translate(None, _INNER + _BLANK)), size - len(text.translate(None, _SYMBOLS)), dup, repeat_words(words, different),
         lines, size - len(text.translate(None, _UPPER)), size - len(text.translate(None, _LETTERS)),
     )
 

@@ -136,3 +136,21 @@ def test_bare_tokens_count_only_if_owner_specific(spark):
     rows = [(1, f"see {live} here", "a/a")] + [(k, f"see {copied} here", f"o{k}/r") for k in range(2, 7)]
     got = secret_scan.digest(secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))).collect()
     assert {r.doc_id: r.spans for r in got} == {1: "bare:4:38"} | {k: "" for k in range(2, 7)}
+
+
+def test_long_texts_are_cut_at_spaces(documents):
+    from corpuskit.llm import common, simhash
+
+    text = " ".join(r.text for r in documents.limit(200).collect()).encode() + b"\x0b" + b"x" * 3000 + b"\n "
+    for most in (1, 100, 5000, 1 << 30):
+        assert b"".join(common.space_pieces(text, most)) == text
+        assert [w for p in common.space_pieces(text, most) for w in p.split()] == text.split()
+    assert common.one_spaced(text) == b" ".join(text.split()) and common.one_spaced(b" \n") == common.one_spaced(b"") == b""
+    longer = text * 3  # more than a piece
+    assert len(longer) > 1 << 20
+    assert license_scan.scan_text(longer)[0] == licenses(longer.decode())[0]
+    assert quality_ledger.measure(longer)[:5] == quality(longer.decode())[:5]
+    from tests.llm.test_simhash import brute_print
+
+    part = text[: 1 << 17].decode("utf-8", "ignore")  # more shingles than are hashed at a time
+    assert simhash.fingerprint(part.encode()) == brute_print(part)
