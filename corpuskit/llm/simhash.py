@@ -240,19 +240,6 @@ def near_duplicates(prints: DataFrame) -> DataFrame:
     return near_groups(prints).select("fp", F.when(F.col("group") < F.lit(1 << 62), F.col("group")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents, less all but one of each group: the one of the smallest doc_id stays; of rows that share it, the first written.
-
-    Rows are numbered as they are written beside their fingerprints, so the choice holds whatever happens to later tasks.
-    """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = staged(fingerprints(rows, ("rid", "row", "doc_id")), "fingerprinted")
-    prints = rows.select("rid", "doc_id", "fp")
-    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), F.col("rid").alias("rid"))
-    kept = prints.join(near_groups(prints), "fp").groupBy("group").agg(F.min(order)["rid"].alias("rid"))
-    return rows.join(kept.select("rid"), "rid", "left_semi").select("row.*")
-
-
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     prints = staged(fingerprints(docs), "doc-fingerprints")
