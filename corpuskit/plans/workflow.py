@@ -30,8 +30,8 @@ class Settings:
     neighbours: int = 10
     leakage_threshold: float = 0.88
     leakage_neighbours: int = 5
-    #: None removes all rows with mentions or rubric leaks; a number only the reported sample of each.
-    sample_cap: int | None = leakage.SAMPLE_CAP
+    #: None removes all rows with mentions or rubric leaks; a number (``leakage.SAMPLE_CAP`` for compatibility) only the first of each.
+    sample_cap: int | None = None
     provider: object = field(default_factory=vectors.feature_hash_provider)
 
 

@@ -35,6 +35,15 @@ def test_chat_corpus(spark, tmp_path):
         flow.run("build", "profile")
 
 
+def test_all_leaks_are_removed(spark, tmp_path):
+    rows = [(k, [("user", f"about the benchmark {k}"), ("assistant", "no")]) for k in range(130)]
+    rows += [(k, [("user", f"q {k}"), ("assistant", "the rubric")]) for k in range(130, 250)] + [(250, [("user", "q"), ("assistant", "a")])]
+    flow = workflow.ChatCorpus(spark.createDataFrame(rows, f"row_id long, messages {MESSAGES}"), f"file://{tmp_path}/run")
+    flow.exact()
+    flow.leakage()
+    assert {r.row_id for r in flow.table("leak_high").collect()} == set(range(250))
+
+
 def test_tuning_data(spark, tmp_path):
     arabic = "هذا سؤال طويل عن النحو والصرف في اللغة العربية وعن الإعراب والبناء رقم "
     records = [{"source": ("broad", "a", "b")[k % 3], "row": {"prompt": arabic + "اب تث جح خد ذر".split()[k % 5] * (k + 1), "response": "جواب " + str(k)}} for k in range(12)]
