@@ -191,7 +191,7 @@ def tuning_data(raw: DataFrame, benchmarks: DataFrame, out: str, system: str, br
     m = F.col("messages")
     texts = rows.select("row_id", chat.last(m, "user").alias("user"), chat.last(m, "assistant").alias("assistant"), chat.first(m, "user").alias("text"))
     rows = step("exact_deduped", rows.join(exact.keep_first(exact.digests(texts, "user", "assistant"), "l3").where("kept").select("row_id"), "row_id", "left_semi"))
-    embedded = step("embeddings", vectors.embed(rows.select("row_id", T.for_embedding(chat.first(m, "user")).alias("text")), provider or vectors.feature_hash_provider()))
+    embedded = step("embeddings", vectors.embed(rows.select("row_id", chat.first(m, "user").alias("text")), provider or vectors.feature_hash_provider()))
     rows = step("deduped", rows.join(vectors.greedy_keep(embedded, vectors.neighbours(embedded, embedded, k), threshold).where("kept").select("row_id"), "row_id", "left_semi"))
     prompts = rows.select("row_id", chat.first(m, "user").alias("text"))
     rows = step("decontaminated", ngrams.decontaminated(rows, ngrams.hits(prompts, benchmarks)))

@@ -59,6 +59,19 @@ def test_tuning_data(spark, tmp_path):
     assert workflow.normalized(raw, compat=True).where("is_mcq").count() == 0
 
 
+def test_tuning_data_embeds_whole_prompts(spark, tmp_path):
+    letters = "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"
+    word = lambda k: "".join(letters[k // 28**p % 28] for p in range(4))
+    shared = " ".join(word(k) for k in range(1_200))
+    prompts = [shared + " " + " ".join(word(k) for k in range(b, b + 1_200)) for b in (100_000, 200_000)]
+    assert len(shared) > 5_000
+    lines = [(k, json.dumps({"source": "a", "row": {"prompt": p, "response": f"جواب {k}"}}, ensure_ascii=False)) for k, p in enumerate(prompts)]
+    raw = spark.createDataFrame(lines, "row_id long, j string").select("row_id", F.from_json("j", schema.ENVELOPE).alias("e")).select("row_id", "e.*")
+    none = spark.createDataFrame([], "benchmark string, text string")
+    counts = workflow.tuning_data(raw, none, f"file://{tmp_path}", "sys", "broad", ["a"], provider=vectors.feature_hash_provider(1 << 12))
+    assert (counts["exact_deduped"], counts["deduped"]) == (2, 2)
+
+
 def test_streams(spark, tmp_path):
     events = spark.sql("SELECT timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT)) AS ts, 'text ' || id % 5 AS text FROM range(20)")
     events.write.parquet(f"file://{tmp_path}/in")
