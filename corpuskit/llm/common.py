@@ -23,15 +23,15 @@ _roots: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """A folder of this application below ``spark.checkpoint.dir``, which all executors see.
 
-    Only where that setting is absent (tests on one machine) is a temporary folder made and used instead.
+    Only where that setting is absent and all runs on one machine (tests) is a temporary folder used; a cluster without it is an error.
     """
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             base = f"file://{tempfile.mkdtemp(prefix='corpuskit-')}"
-            spark.sparkContext.setCheckpointDir(base)
-            spark.conf.set("spark.checkpoint.dir", base)
         _roots[app] = root = f"{base.rstrip('/')}/corpuskit-{app}-{uuid.uuid4().hex[:8]}"
         atexit.register(_remove_quietly, spark, root)
     return _roots[app]
@@ -170,6 +170,11 @@ def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str, row
     return left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")).join(salted, [*on, "_salt"], how).drop("_salt")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, whatever their names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def unit_hash(*cols: Column | str) -> Column:
     """A non-negative 62-bit hash, even over its range."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 2)

@@ -85,9 +85,10 @@ def mix(
     ``total`` tokens are asked for, or ``fraction`` of all there are.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key), *levels, F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("n_tokens"), *carry).where("n_tokens > 0")
     leaf = unit_hash(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in levels])
-    small = staged(rows.select(F.col(key), *levels, "n_tokens", leaf.alias("leaf")), "mix-sizes")
+    rows = docs.select(F.col(key), *levels, F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("n_tokens"), leaf.alias("leaf"), *carry).where("n_tokens > 0")
+    rows = staged(rows, "mix-rows")  # tokens are counted once; steps that need no carried column do not read it
+    small = rows.drop(*carry)
     counted = small.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
     n_rows, n_tokens = counted[0], counted[1] or 0
     total = int(n_tokens * fraction) if total is None else total
@@ -118,7 +119,7 @@ def mix(
     stop = stop.groupBy("leaf").agg(*[F.min_by(c, "stop_h").alias(c) for c in ("stop_key", "stop_n", "last_take")], F.min("stop_h").alias("stop_h"))
     deal = staged(plan.join(stop, "leaf", "left"), "mix-deal")
 
-    taken = checked_join(rows.withColumn("leaf", leaf), deal, ["leaf"], "inner", n_leaves, key)
+    taken = checked_join(rows, deal, ["leaf"], "inner", n_leaves, key)
     here = F.struct(spot(), F.col(key), F.col("n_tokens"))
     there = F.struct("stop_h", "stop_key", "stop_n")
     take_last = F.when(here < there, F.col("n_tokens")).when(here == there, F.col("last_take"))
@@ -134,10 +135,17 @@ WEIGHTS = {"domain": {"web": 3.0, "books": 1.0, "code": 1.0, "forum": 1.0}, "lan
 LEVELS = ["domain", "lang", "source"]
 
 
-def with_levels(docs: DataFrame) -> DataFrame:
-    """Adds ``domain`` (a rule on the source's name: the table has no domains of its own) and ``n_tokens`` (words)."""
+def with_levels(docs: DataFrame, domains: dict[str, str] | None = None) -> DataFrame:
+    """Adds ``domain`` and ``n_tokens`` (words).
+
+    ``domains`` maps sources to domains; a source that it lacks has none. Without it a rule on the source's name stands in, as
+    ``documents`` has no domains of its own.
+    """
     names = F.array(*[F.lit(x) for x in ("web", "books", "code", "forum")])
     domain = F.when(F.col("source").isNotNull(), F.element_at(names, (F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)) + 1).cast("int")))
+    if domains is not None:
+        pairs = [F.lit(x) for pair in domains.items() for x in pair]
+        domain = F.create_map(*pairs)[F.col("source")] if pairs else F.lit(None).cast("string")
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
     return docs.withColumn("domain", domain).withColumn("n_tokens", words)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_extend, drop_staged, one_spaced, staged
+from corpuskit.llm.common import arrow_extend, drop_staged, one_spaced, staged, whole_row
 from corpuskit.llm.components import components
 
 SHINGLE = 5
@@ -271,7 +271,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows are numbered as they are written beside their sketches, so the choice holds whatever happens to later tasks.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = staged(arrow_extend(rows, "h1 bigint, h2 bigint, buckets array<bigint>, signature binary", sketches, keep=("rid", "row", "doc_id")), "sketched")
     copies = staged(rows.groupBy("h1", "h2").agg(F.min("rid").alias("node")), "distinct-texts")
     nodes = rows.select(F.col("rid").alias("node"), "buckets", "signature").join(copies.select("node"), "node", "left_semi")

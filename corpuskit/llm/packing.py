@@ -5,8 +5,8 @@ bin also carries two bitmaps: the duplicate clusters it holds, of which it may h
 ``max_per_source`` items in it. Best fit asks for the tightest bin whose residual suffices; the successor search goes on from there
 until both bitmaps allow the item, and opens a bin if none does.
 
-*Distribution.* Items are dealt to shards of about ``SHARD_ITEMS`` by a hash of doc_id, whatever their source or cluster, so a hot
-source or a large group of copies is spread evenly; each shard is packed alone. Members of a cluster in different shards cannot meet
+*Distribution.* Items are dealt to shards of about ``SHARD_ITEMS`` by a hash of their row and piece, whatever their source, cluster or
+doc_id, so a hot source, repeated rows, a large group of copies or one huge text is spread evenly; each shard is packed alone. Members of a cluster in different shards cannot meet
 in a bin, so the constraint holds everywhere. The cost of sharding is at most one badly filled tail of bins in each shard.
 
 Defined results: null texts are items of size 0 and null sources or clusters carry no constraint; repeated rows are items of their own;
@@ -16,11 +16,14 @@ ties go to the smaller doc_id; an empty table gives no rows.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuskit.llm.common import staged
+
 SHARD_ITEMS = 8_000
 CAPACITY = 2_048
 MAX_PER_SOURCE = 8
@@ -71,23 +74,25 @@ def pack_documents(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    items = docs.select(
+    rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.greatest(F.coalesce(F.col(n_tokens), F.lit(0)), F.lit(0)).cast("bigint").alias("size"),
-        F.col(source).cast("string").alias("source"), F.col(cluster).cast("string").alias("cluster"),
+        F.col(source).cast("string").alias("source"), F.col(cluster).cast("string").alias("cluster"), F.monotonically_increasing_id().alias("rid"),
     )
-    shards = max(1, -(-docs.select(F.count(F.lit(1))).first()[0] // shard_items))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", "cluster", F.lit(5)), F.lit(shards)))
+    rows = staged(rows, "items")  # the row numbers are written, so a repeated task deals rows alike
+    pieces = F.greatest(F.ceil(F.col("size") / capacity), F.lit(1)).cast("bigint")
+    shards = max(1, -(-(rows.agg(F.sum(pieces)).first()[0] or 0) // shard_items))
+    items = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
+    items = items.withColumn("size", F.least(F.lit(capacity).cast("bigint"), F.col("size") - F.col("piece") * capacity))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("rid", "piece", F.lit(5)), F.lit(shards))).drop("rid")
     out_schema = to_arrow_schema(_parse_datatype_string(OUT))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows, members = [], {}
-        for doc, size, src, clu in zip(*(table.column(c).to_pylist() for c in ("doc_id", "size", "source", "cluster"))):
-            members[clu] = members.get(clu, 0) + 1
-            for piece in range(max(1, -(-size // capacity))):
-                rows.append((min(capacity, size - piece * capacity), clu, src, doc, piece))
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("size", "cluster", "source", "doc_id", "piece"))))
         rows.sort(key=lambda r: (-r[0], r[1] or "", r[2] or "", -1 if r[3] is None else r[3], r[4]))
+        # pieces of one document conflict with no one: all but the last are as large as a bin
+        members = Counter(r[1] for r in rows if r[0] < capacity and r[1] is not None)
+        groups = {c: k for k, c in enumerate(c for c, n in members.items() if n > 1)}
         sources: dict[str, int] = {}
-        groups = {c: k for k, c in enumerate(c for c, n in members.items() if n > 1 and c is not None)}
         placed = pack([(r[0], None if r[2] is None else sources.setdefault(r[2], len(sources)), groups.get(r[1])) for r in rows], capacity, max_per_source)
         made = {
             "doc_id": [r[3] for r in rows], "piece": [r[4] for r in rows], "n_tokens": [r[0] for r in rows],

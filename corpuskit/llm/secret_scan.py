@@ -7,7 +7,8 @@ running sums of their lengths give the spans in code points. Pieces are summed i
 or that reads like a placeholder, is a copied ``example``; one that few owners hold and that has the mix of characters of a generated
 key is ``live``; the rest is ``weak``. Bare tokens (no keyword near them) are reported only if they are live.
 
-A repository is a document's ``source``, its owner the part before the first slash. A value that a third of all rows hold is
+A repository is a document's ``source``; its owner is a column of its own if one is named, else the part before the first slash, and a
+source without a slash is its own owner. A value that a third of all rows hold is
 pre-aggregated by (value, owner, repository) before any shuffle, and the verdicts go back through a join whose size is checked.
 
 Defined results: null texts are empty; null sources count as one owner; repeated rows each give a row; other columns are ignored.
@@ -15,10 +16,13 @@ Defined results: null texts are empty; null sources count as one owner; repeated
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import BROADCAST_ROWS, checked_join, staged
+from corpuskit.llm.common import BROADCAST_ROWS, checked_join, staged, whole_row
 
 #: (kind, pattern, group of the value, least length of the value); base kinds first, in the order of ties.
 BASE = (
@@ -28,9 +32,17 @@ BASE = (
 )
 MORE = (
     ("vendor", r"gh[opsu]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+|-----BEGIN\x20[A-Z\x20]{0,20}PRIVATE\x20KEY-----", 0, 0),
-    ("bare", r"""(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z0-9+/_-]{32})(?=[a-z_/+-]*[A-Z0-9])(?=[0-9a-f]*[A-Zg-z_/+-])(?=[^0-9]{0,31}[0-9])(?<![:=]\x20{0,4}["']?)[A-Za-z0-9+/_-]{32,}""", 0, 0),
+    ("bare", r"""(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_-]{32})(?=[a-z_/+-]*[A-Z0-9])(?=[0-9a-f]*[A-Zg-z_/+-])(?=[^0-9]{0,31}[0-9])(?<!(?i:password|passwd|secret|token|api_?key)["']?\x20{0,4}[:=]\x20{0,4}["']?)[A-Za-z0-9+/_-]{32,}""", 0, 0),
 )
 KINDS = BASE + MORE
+#: What any match of a kind holds: literal characters, then a plain pattern. Texts without it are not searched further.
+GATES = {
+    "assign": ((":", "="), None),
+    "access": (("AKIA",), None),
+    "hex": ((), r"[0-9a-f]{16}"),
+    "vendor": (("gho_", "ghp_", "ghs_", "ghu_", "xox", "sk_live_", "eyJ", "PRIVATE KEY"), None),
+    "bare": ((), r"[0-9]"),
+}
 #: Values of this many owners or more are widely copied.
 EXAMPLE_OWNERS = 3
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]?|xxxx|0{8}|1234567"
@@ -61,22 +73,32 @@ def _running(matches: Column) -> Column:
     return F.when(F.size(matches) > 0, F.flatten(F.transform(chunks, inside))).otherwise(empty)
 
 
-def _matches(text: Column, pattern: str, group: int) -> Column:
+def _matches(text: Column, pattern: str, group: int, may: Column) -> Column:
     pairs = F.zip_with(
         F.split(text, pattern, -1),
         F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value")),
         lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m["hit"]).alias("hit"), m["value"].alias("value")),
     )
     none = F.array().cast("array<struct<gap:int,hit:int,value:string>>")
-    return F.when(F.regexp(text, F.lit(pattern)), F.filter(pairs, lambda p: p["hit"].isNotNull())).otherwise(none)
+    return F.when(may & F.regexp(text, F.lit(pattern)), F.filter(pairs, lambda p: p["hit"].isNotNull())).otherwise(none)
+
+
+def _may(text: Column, kind: str) -> Column:
+    literals, pattern = GATES[kind]
+    tests = [F.regexp(text, F.lit(pattern))] if pattern else []
+    if literals:
+        tests.insert(0, reduce(or_, [F.contains(text, F.lit(x)) for x in literals]))
+    return reduce(and_, tests)
 
 
-def candidates(docs: DataFrame, key: str = "doc_id", repo: str = "source") -> DataFrame:
+def candidates(docs: DataFrame, key: str = "doc_id", repo: str = "source", owner: str | None = None) -> DataFrame:
     """(rid, key, repo, owner, found): one row per document, ``found`` sorted by start, then kind; written, so that ids and spans stay."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col(key), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"), text.alias("text"))
+    name = F.coalesce(F.col(repo).cast("string"), F.lit(""))
+    holder = F.substring_index(name, "/", 1) if owner is None else F.coalesce(F.col(owner).cast("string"), F.lit(""))
+    rows = docs.select(F.col(key), name.alias("repo"), holder.alias("owner"), text.alias("text"))
     for kind, pattern, group, _ in KINDS:
-        rows = rows.withColumn(f"m_{kind}", _matches(F.col("text"), pattern, group))
+        rows = rows.withColumn(f"m_{kind}", _matches(F.col("text"), pattern, group, _may(F.col("text"), kind)))
     rows = rows.drop("text")
     parts = []
     for no, (kind, _, _, least) in enumerate(KINDS):
@@ -89,7 +111,7 @@ def candidates(docs: DataFrame, key: str = "doc_id", repo: str = "source") -> Da
             s["start"].alias("start"), s["no"].alias("no"), s["end"].alias("end"), s["kind"].alias("kind"), F.sha2(s["value"].cast("binary"), 256).alias("hash"), looks(s["value"]).alias("looks"),
         ),
     )
-    out = rows.select(F.monotonically_increasing_id().alias("rid"), key, "repo", F.substring_index("repo", "/", 1).alias("owner"), described.alias("found"))
+    out = rows.select(F.monotonically_increasing_id().alias("rid"), key, "repo", "owner", described.alias("found"))
     return staged(out, "secrets")
 
 
@@ -116,9 +138,9 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_value.withColumn("verdict", verdict)
 
 
-def scan_secrets(docs: DataFrame, key: str = "doc_id", repo: str = "source") -> DataFrame:
+def scan_secrets(docs: DataFrame, key: str = "doc_id", repo: str = "source", owner: str | None = None) -> DataFrame:
     """One row per document: ``key`` and ``spans``, an array of (start, no, end, kind, hash, verdict, n_owners, n_repos)."""
-    found = candidates(docs, key, repo)
+    found = candidates(docs, key, repo, owner)
     known = staged(ownership(found).select("hash", "verdict", "n_owners", "n_repos"), "ownership")
     each = found.where(F.size("found") > 0).select("rid", F.explode("found").alias("s")).select("rid", "s.start", "s.no", "s.end", "s.kind", F.col("s.hash").alias("hash"))
     judged = checked_join(each, known, ["hash"], "inner", known.count(), "rid").where((F.col("kind") != "bare") | (F.col("verdict") == "live"))
@@ -151,7 +173,7 @@ NAMED = ("assign", "access", "vendor")
 
 def without_live_secrets(docs: DataFrame, kinds: tuple[str, ...] = NAMED) -> DataFrame:
     """The documents, less those that hold a live-looking credential of a few owners. Widely copied examples stay."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "source", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).alias("key"))
+    rows = docs.select(whole_row(docs).alias("row"), "text", "source", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).alias("key"))
     live = scan_secrets(rows, key="key", repo="source").where(F.exists("spans", lambda s: (s["verdict"] == "live") & s["kind"].isin(*kinds))).select("key").distinct()
     live = staged(live, "live")
     few = F.broadcast(live) if live.count() <= BROADCAST_ROWS else live

@@ -5,7 +5,8 @@ the shingles' XXH64 values.
 
 *Candidates.* Only distinct fingerprints are compared, each with its smallest doc_id. Two that differ in at most ``RADIUS`` bits agree
 in at least one of ``RADIUS + 1`` blocks of bits, so each fingerprint goes to one bucket per block. A bucket above ``BUCKET_ROWS`` is
-dealt again by blocks of its remaining bits, where the same holds, up to ``DEPTH`` times; nothing is capped.
+dealt again by blocks of its remaining bits, where the same holds, up to ``DEPTH`` times. What is still large then is cut into blocks of
+``BUCKET_ROWS``, and each pair of blocks is compared as a bucket of its own; nothing is capped, and no task holds more than two blocks.
 
 *Comparison.* In a bucket the fingerprints are stored vertically: one bit plane per bit, 64 fingerprints to a word. A fingerprint is
 compared with whole words at once: the planes are added into carry-save counters (ones, twos, fours, and a flag for more), and a word
@@ -188,6 +189,14 @@ def _bucket_edges(batches):
         yield flush(pa.Table.from_batches(held).combine_chunks())
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """Large buckets (with their size ``n``) as smaller ones: a bucket for each pair of its blocks."""
+    blocks = F.ceil(F.col("n") / BUCKET_ROWS).cast("int")
+    part = rows.select("bucket", "fp", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("fp", F.lit(9)), blocks.cast("bigint")).cast("int").alias("part"))
+    pairs = part.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return pairs.select(F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other")).alias("bucket"), "fp", "rep")
+
+
 def near_edges(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) between ``rep`` values that connect the same components as all links within RADIUS. ``nodes``: distinct fp, rep.
 
@@ -202,19 +211,19 @@ def near_edges(nodes: DataFrame) -> DataFrame:
             "fp", "rep", F.xxhash64("bucket", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"), F.col("used").bitwiseOR(F.col("mask")).alias("used")
         )
         last = depth == DEPTH - 1
-        if not last:
-            dealt = staged(dealt, "buckets")
-            used.append(dealt)
-        cold = dealt
-        if not last:
-            hot = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
-            hot = staged(hot.select("bucket"), "hot-buckets")
-            n_hot = hot.count()
-            if n_hot:  # there are at most rows / BUCKET_ROWS of them, one long each
-                hot = F.broadcast(hot) if n_hot <= 100_000 else hot
-                cold = dealt.join(hot, "bucket", "left_anti")
-                rows = dealt.join(hot, "bucket", "left_semi")
-        cold = cold.select("bucket", "fp", "rep").repartition("bucket").sortWithinPartitions("bucket", "fp")
+        dealt = staged(dealt, "buckets")
+        used.append(dealt)
+        hot = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET_ROWS)
+        hot = staged(hot, "hot-buckets")
+        n_hot = hot.count()
+        cold = dealt.select("bucket", "fp", "rep")
+        if n_hot:  # there are at most rows / BUCKET_ROWS of them, two longs each
+            hot = F.broadcast(hot) if n_hot <= 100_000 else hot
+            cold = cold.join(hot, "bucket", "left_anti")
+            rows = dealt.join(hot, "bucket")
+            if last:
+                cold = cold.unionByName(_cells(rows))
+        cold = cold.repartition("bucket").sortWithinPartitions("bucket", "fp")
         edges = cold.mapInArrow(_bucket_edges, "a bigint, b bigint")
         found = edges if found is None else found.unionByName(edges)
         if last or not n_hot:

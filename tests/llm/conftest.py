@@ -5,14 +5,12 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "3g").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
     return s
 
 
@@ -28,9 +26,9 @@ ODD = [
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    """The odd rows, with extra columns whose names clash with results."""
+    """The odd rows, with extra columns whose names clash with results or need quotes."""
     return spark.createDataFrame(
-        [(*r, 7, 1.5, "x") for r in ODD], "doc_id bigint, text string, lang string, source string, n_words int, score double, spans string"
+        [(*r, 7, 1.5, "x", 2) for r in ODD], "doc_id bigint, text string, lang string, source string, n_words int, score double, spans string, `a.b` int"
     )
 
 
