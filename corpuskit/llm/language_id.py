@@ -1,13 +1,15 @@
 """Language ID for mixed-language text.
 
-*Fit.* Character trigrams of labelled documents are counted per language into a fixed table of hashed buckets and turned into
-smoothed log-probabilities; the scripts that a language uses are learned too. The sample is bounded by ``ROWS_PER_LANGUAGE`` documents
-of each language (a documented parameter; chosen by a hash of doc_id); only the counts, at most languages x ``BUCKETS`` rows, reach
-the driver.
+*Fit.* Character trigrams of labelled documents are counted per language into a table of hashed buckets and turned into
+smoothed log-probabilities; the scripts that a language uses are learned too. Every label is learned. The sample is bounded by
+``ROWS_PER_LANGUAGE`` documents of each language (a documented parameter; chosen by a hash of doc_id); only the counts, at most
+languages x buckets rows, reach the driver. A table has 2^``BUCKET_BITS`` buckets, and beyond 512 languages as many as ``MODEL_BYTES`` allow.
 
 *Predict.* Words are runs of letters. The script range of a word narrows its candidate languages, each candidate scores the word by
 its trigrams, and a Viterbi pass with a penalty for every change of language labels the words. All documents of a slice advance in
-step, one vector operation per word position. The prediction is the language of most letters, the score its share of them.
+step, one vector operation per word position; scores are held for ``SCORE_BYTES`` at a time. A text beyond that goes through a
+:class:`Trellis`, which takes it piece by piece and settles its words wherever all paths meet. The prediction is the language of most
+letters, the score its share of them.
 
 Defined results: null texts and texts without a letter give ``und`` and score 0; a null doc_id counts as not held out and is never
 learned from; repeated rows each give a row; an empty table, or one without labels, gives ``und`` throughout.
@@ -24,11 +26,12 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm.common import arrow_extend
 
-BUCKET_BITS = 15
-BUCKETS = 1 << BUCKET_BITS
+BUCKET_BITS, LEAST_BITS = 15, 10
 ROWS_PER_LANGUAGE = 4_000
-#: At most so many languages are learned, the most frequent first; it bounds the model that tasks are sent.
-LANGUAGES = 256
+#: Size of the table of log-probabilities that tasks are sent; 2^LEAST_BITS buckets for each of 16,384 languages fill it, more are an error.
+MODEL_BYTES = 64 << 20
+#: Word scores that a task holds at a time, about.
+SCORE_BYTES = 32 << 20
 SWITCH_PENALTY = 12.0
 #: Bytes whose letters are held at a time.
 PIECE = 1 << 20
@@ -70,7 +73,7 @@ class Words:
     doc: np.ndarray
 
 
-def cut(texts: list[bytes | None]) -> Words:
+def cut(texts: list[bytes | None], bits: int = BUCKET_BITS) -> Words:
     plain = [(t or b"").decode("utf-8", "replace").lower() for t in texts]
     codes = np.frombuffer(("\n" + "\n".join(plain) + "\n").encode("utf-32-le", "replace"), np.uint32).copy()
     table = _letters()
@@ -81,7 +84,7 @@ def cut(texts: list[bytes | None]) -> Words:
     mix = codes[at - 1] * np.uint32(0x9E3779B1) + codes[at] * np.uint32(0x85EBCA77) + codes[np.minimum(at + 1, len(codes) - 1)] * np.uint32(0xC2B2AE3D)
     mix ^= mix >> np.uint32(15)
     mix *= np.uint32(0x2C1B3C6D)
-    grams = (mix >> np.uint32(32 - BUCKET_BITS)).astype(np.int32)
+    grams = (mix >> np.uint32(32 - bits)).astype(np.int32)
     begins = np.flatnonzero(~letter[at - 1]) if len(at) else np.zeros(0, np.int64)
     first = at[begins]
     scripts = _IDS[np.searchsorted(_STARTS, codes[first], "right") - 1] if len(first) else np.zeros(0, np.int64)
@@ -92,9 +95,20 @@ def cut(texts: list[bytes | None]) -> Words:
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # BUCKETS x languages, log-probabilities less their mean
+    weights: np.ndarray  # buckets x languages, log-probabilities less their mean
     allowed: np.ndarray  # scripts x languages
 
+    @property
+    def bits(self) -> int:
+        return len(self.weights).bit_length() - 1
+
+
+def bucket_bits(languages: int) -> int:
+    bits = min(BUCKET_BITS, (MODEL_BYTES // (4 * max(1, languages))).bit_length() - 1)
+    if bits < LEAST_BITS:
+        raise ValueError(f"{languages} languages are too many for a table of {MODEL_BYTES} bytes")
+    return bits
+
 
 def pieces(texts: list[bytes | None], most: int) -> list[list[tuple[bytes, int]]]:
     """(bytes, text index) in groups of about ``most`` bytes. A longer text is cut at spaces; a word beyond all bounds is cut itself."""
@@ -119,17 +133,9 @@ def pieces(texts: list[bytes | None], most: int) -> list[list[tuple[bytes, int]]
     return groups
 
 
-def scored(texts: list[bytes | None], model: Model, most: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(scores by language, letters, text index) of all words in order. Letters are held for one group of pieces at a time."""
-    made = [(np.zeros((0, len(model.languages)), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for group in pieces(texts, most):
-        words = cut([t for t, _ in group])
-        if len(words.begins):
-            made.append((word_scores(words, model), words.sizes, np.array([k for _, k in group])[words.doc]))
-    return tuple(np.concatenate(x) for x in zip(*made))
-
-
 def word_scores(words: Words, model: Model) -> np.ndarray:
+    if not len(words.begins):
+        return np.zeros((0, len(model.languages)), np.float32)
     scores = np.add.reduceat(model.weights[words.grams], words.begins, axis=0)
     return np.where(model.allowed[words.scripts], scores, scores.min(axis=1, keepdims=True) - 50.0).astype(np.float32)
 
@@ -155,7 +161,7 @@ def label(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = SWI
     active = np.searchsorted(-sizes, -np.arange(steps), "left")  # texts with more than t words
     stay = np.zeros((len(scores), k), bool)
     best = np.zeros(len(scores), np.int16)
-    value = scores[begin].copy()
+    value = scores[begin].astype(np.float64)
     for t in range(1, steps):
         n = active[t]
         v = value[:n]
@@ -176,41 +182,116 @@ def label(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = SWI
     return out
 
 
+class Trellis:
+    """The same labels for one text that comes piece by piece.
+
+    Back pointers take a bit per word and language; they are held only since the last word at which all paths meet, which is wherever
+    one language leads all others by more than the penalty.
+    """
+
+    def __init__(self, penalty: float = SWITCH_PENALTY):
+        self.penalty, self.value = penalty, None
+        self.settled: list[np.ndarray] = []
+        self.stay: list[np.ndarray] = []
+        self.best: list[int] = []
+
+    def add(self, scores: np.ndarray) -> None:
+        for row in scores.astype(np.float64):
+            if self.value is None:
+                self.value = row
+                continue
+            top = int(self.value.argmax())
+            value = self.value - self.value[top]
+            keep = value >= -self.penalty
+            if keep.sum() == 1:
+                self._settle(top)
+            else:
+                self.stay.append(np.packbits(keep))
+                self.best.append(top)
+            self.value = np.where(keep, value, -self.penalty) + row
+
+    def _settle(self, state: int) -> None:
+        out = [state]
+        for stay, best in zip(reversed(self.stay), reversed(self.best)):
+            state = state if stay[state >> 3] >> (7 - (state & 7)) & 1 else best
+            out.append(state)
+        self.settled.append(np.array(out[::-1], np.int64))
+        self.stay.clear()
+        self.best.clear()
+
+    def path(self) -> np.ndarray:
+        if self.value is None:
+            return np.zeros(0, np.int64)
+        self._settle(int(self.value.argmax()))
+        self.value = None
+        return np.concatenate(self.settled)
+
+
+def _runs(path: np.ndarray, languages: list[str]) -> list[dict]:
+    edge = np.flatnonzero(np.diff(path, prepend=-1)).tolist()
+    return [{"first_word": a, "end_word": b, "lang": languages[path[a]]} for a, b in zip(edge, [*edge[1:], len(path)])]
+
+
 def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dict[str, list]:
     n, k = len(texts), len(model.languages)
-    scores, sizes, doc = scored(texts, model) if k else (np.zeros((0, 0)),) * 3
-    if not len(scores):
-        return {"lang_pred": ["und"] * n, "score": [0.0] * n, "spans": [[] for _ in range(n)]}
-    path = label(scores, doc, n)
-    letters = np.bincount(doc * k + path, sizes, n * k).reshape(n, k)
-    total = letters.sum(axis=1)
-    pick = letters.argmax(axis=1)
-    score = letters[np.arange(n), pick] / np.maximum(total, 1)
-    out = {
-        "lang_pred": [model.languages[p] if t else "und" for p, t in zip(pick, total)],
-        "score": np.where(total > 0, np.clip(score, 0, 1), 0.0).tolist(),
-        "spans": [[] for _ in range(n)],
-    }
-    if spans:
-        first = np.cumsum(np.bincount(doc, minlength=n)) - np.bincount(doc, minlength=n)
-        edge = np.flatnonzero((np.diff(path, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-        for a, b in zip(edge, np.append(edge[1:], len(path))):
-            d = doc[a]
-            out["spans"][d].append({"first_word": int(a - first[d]), "end_word": int(b - first[d]), "lang": model.languages[path[a]]})
+    out: dict[str, list] = {"lang_pred": ["und"] * n, "score": [0.0] * n, "spans": [[] for _ in range(n)]}
+    if not k:
+        return out
+    most = max(1 << 12, min(PIECE, SCORE_BYTES // (4 * k)))
+
+    def note(i: int, letters: np.ndarray, path: np.ndarray) -> None:
+        if not len(path):
+            return
+        held = np.bincount(path, letters, k)
+        best = int(held.argmax())
+        out["lang_pred"][i], out["score"][i] = model.languages[best], min(1.0, float(held[best] / held.sum()))
+        if spans:
+            out["spans"][i] = _runs(path, model.languages)
+
+    def together(group: list[int]) -> None:
+        words = cut([texts[i] for i in group], model.bits)
+        path = label(word_scores(words, model), words.doc, len(group))
+        ends = np.cumsum(np.bincount(words.doc, minlength=len(group)))
+        for i, a, b in zip(group, [0, *ends.tolist()], ends.tolist()):
+            note(i, words.sizes[a:b], path[a:b])
+
+    group: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        length = len(t or b"")
+        if length > most:
+            trellis, letters = Trellis(), []
+            for part in pieces([t], most):
+                words = cut([x for x, _ in part], model.bits)
+                if len(words.begins):
+                    trellis.add(word_scores(words, model))
+                    letters.append(words.sizes)
+            if letters:
+                note(i, np.concatenate(letters), trellis.path())
+            continue
+        if group and size + length > most:
+            together(group)
+            group, size = [], 0
+        group.append(i)
+        size += length + 64
+    if group:
+        together(group)
     return out
 
 
 def fit(docs: DataFrame, usable: Column, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Learn from ``text`` and non-null ``lang`` of the documents for which ``usable`` holds."""
+    docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     docs = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    top = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    counts = {r["lang"]: r["n"] for r in top.collect()}
+    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MODEL_BYTES // (4 << LEAST_BITS) + 1).collect()}
     languages = sorted(counts)
+    bits = bucket_bits(len(languages))
+    buckets = 1 << bits
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
-    share = F.create_map(*[F.lit(x) for g in languages for x in (g, min(1.0, rows_per_language / counts[g]))])
-    docs = docs.where(F.col("lang").isin(languages))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text")
+        return Model([], np.zeros((buckets, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
+    share = docs.sparkSession.createDataFrame([(g, min(1.0, rows_per_language / n)) for g, n in counts.items()], "lang string, share double")
+    docs = docs.join(F.broadcast(share), "lang")  # a row for each language
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text")
     index = {g: i for i, g in enumerate(languages)}
 
     def tally(batches):
@@ -218,25 +299,26 @@ def fit(docs: DataFrame, usable: Column, rows_per_language: int = ROWS_PER_LANGU
 
         from corpuskit.llm.common import as_list
 
-        grams, scripts = np.zeros((len(index), BUCKETS), np.int64), np.zeros((len(index), len(SCRIPT_NAMES)), np.int64)
+        grams, scripts = np.zeros((len(index), buckets), np.uint32), np.zeros((len(index), len(SCRIPT_NAMES)), np.int64)
         for batch in batches:
             known = np.array([index[g] for g in batch.column(0).to_pylist()])
             for group in pieces(as_list(batch.column(1), True), PIECE):
-                words = cut([t for t, _ in group])
+                words = cut([t for t, _ in group], bits)
                 if len(words.begins):
                     lang = known[np.array([k for _, k in group])[words.doc]]
-                    grams += np.bincount(np.repeat(lang, words.sizes) * BUCKETS + words.grams, minlength=grams.size).reshape(grams.shape)
+                    slot, n = np.unique(np.repeat(lang, words.sizes) * buckets + words.grams, return_counts=True)
+                    grams.ravel()[slot] += n.astype(np.uint32)
                     np.add.at(scripts, (lang, words.scripts), words.sizes)
         a, b = np.nonzero(grams)
         c, d = np.nonzero(scripts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, c]), pa.int32()), pa.array(np.concatenate([b, -1 - d]), pa.int32()), pa.array(np.concatenate([grams[a, b], scripts[c, d]]), pa.int64())], ["lang", "slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, c]), pa.int32()), pa.array(np.concatenate([b, -1 - d]), pa.int32()), pa.array(np.concatenate([grams[a, b].astype(np.int64), scripts[c, d]]), pa.int64())], ["lang", "slot", "n"])
 
     got = sample.mapInArrow(tally, "lang int, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pydict()
-    grams, scripts = np.zeros((BUCKETS, len(languages))), np.zeros((len(SCRIPT_NAMES), len(languages)))
+    grams, scripts = np.zeros((buckets, len(languages))), np.zeros((len(SCRIPT_NAMES), len(languages)))
     lang, slot, n = (np.array(got[c], np.int64) for c in ("lang", "slot", "n"))
     grams[slot[slot >= 0], lang[slot >= 0]] = n[slot >= 0]
     scripts[-1 - slot[slot < 0], lang[slot < 0]] = n[slot < 0]
-    weights = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
+    weights = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * buckets))
     weights -= weights.mean(axis=1, keepdims=True)
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
     allowed |= ~allowed.any(axis=1, keepdims=True)  # a script that nobody uses leaves all candidates
@@ -256,4 +338,5 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs, ~held_out())
-    return identify(docs, model).select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), "lang_pred", "score")
+    found = identify(docs, model, spans=True)
+    return found.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), "lang_pred", "score", "spans")

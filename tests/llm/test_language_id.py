@@ -1,6 +1,8 @@
 import itertools
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpuskit.llm import language_id as L
@@ -36,10 +38,81 @@ def test_odd_rows(spark, odd, none, documents):
     assert {r.lang_pred for r in L.identify(odd, empty).collect()} == {"und"}
 
 
-def test_number_of_languages_is_bounded(documents, monkeypatch):
-    monkeypatch.setattr(L, "LANGUAGES", 2)
-    counts = {r.lang: r["count"] for r in documents.where(~L.held_out()).groupBy("lang").count().collect()}
-    assert L.fit(documents, ~L.held_out()).languages == sorted(sorted(counts, key=lambda g: (-counts[g], g))[:2])
+def test_all_of_many_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(L, "SCORE_BYTES", 1 << 20)
+    rng = random.Random(5)
+    tongues = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 7))) for _ in range(12)] for _ in range(300)]
+    rows = [(4 * k + n, " ".join(rng.choice(t) for _ in range(50)), f"l{k:03d}") for k, t in enumerate(tongues) for n in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.fit(docs, F.col("doc_id") % 4 != 0)
+    assert len(model.languages) == 300 and model.weights.nbytes <= L.MODEL_BYTES
+    got = L.predict([t.encode() for i, t, _ in rows if i % 4 == 0], model)
+    assert got["lang_pred"] == [f"l{k:03d}" for k in range(300)]
+    assert [L.bucket_bits(n) for n in (1, 512, 513, 16_384)] == [15, 15, 14, 10]
+    with pytest.raises(ValueError):
+        L.bucket_bits(16_385)
+
+
+def test_pieces_of_a_long_text_give_the_same_labels():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        k, n = int(rng.integers(1, 20)), int(rng.integers(1, 200))
+        scores = (rng.normal(size=(n, k)) * rng.choice([0.3, 3.0])).astype(np.float32)
+        trellis = L.Trellis(penalty=2.0)
+        for at in range(0, n, 37):
+            trellis.add(scores[at : at + 37])
+        assert (trellis.path() == L.label(scores, np.zeros(n, np.int64), 1, penalty=2.0)).all()
+
+
+def plain(text, model):
+    """Language and share of one text: words, trigrams and paths one by one."""
+    text = (text or "").lower()
+    words, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        if end > at:
+            words.append((at, end))
+        at = max(end, at + 1)
+    if not words:
+        return "und", 0.0
+    code = lambda i: ord(text[i]) if 0 <= i < len(text) and text[i].isalpha() else 0
+    k = range(len(model.languages))
+    value, back = None, []
+    for a, b in words:
+        scores = [0.0] * len(k)
+        for i in range(a, b):
+            mix = (code(i - 1) * 0x9E3779B1 + code(i) * 0x85EBCA77 + code(i + 1) * 0xC2B2AE3D) % (1 << 32)
+            mix = (mix ^ mix >> 15) * 0x2C1B3C6D % (1 << 32)
+            scores = [s + float(model.weights[mix >> 17, x]) for x, s in zip(k, scores)]
+        script = [name for start, name in L.SCRIPTS if start <= ord(text[a])][-1]
+        allowed = model.allowed[L.SCRIPT_NAMES.index(script)]
+        scores = [s if allowed[x] else min(scores) - 50 for x, s in zip(k, scores)]
+        if value is None:
+            value = scores
+            continue
+        top = max(k, key=lambda x: value[x])
+        back.append([x if value[x] >= value[top] - L.SWITCH_PENALTY else top for x in k])
+        value = [max(value[x], value[top] - L.SWITCH_PENALTY) + scores[x] for x in k]
+    path = [max(k, key=lambda x: value[x])]
+    for step in reversed(back):
+        path.append(step[path[-1]])
+    letters = [0] * len(k)
+    for (a, b), x in zip(words, reversed(path)):
+        letters[x] += b - a
+    best = max(k, key=lambda x: letters[x])
+    return model.languages[best], letters[best] / sum(letters)
+
+
+def test_predictions_against_plain_version(spark, documents, odd):
+    model = L.fit(documents, ~L.held_out())
+    texts = [r.text for r in documents.orderBy("doc_id").collect() if len(r.text) < 4000][:250] + [r.text for r in odd.collect()]
+    texts += [" ".join(x for pair in zip(a.split(), b.split()) for x in pair) for a, b in zip(texts[:20], texts[20:40])] + ["été über niño " * 9, "дом house"]
+    got = L.predict([None if t is None else t.encode() for t in texts], model)
+    want = [plain(t, model) for t in texts]
+    assert got["lang_pred"] == [w[0] for w in want]
+    assert np.allclose(got["score"], [w[1] for w in want])
 
 
 def test_viterbi_against_all_paths():
@@ -69,12 +142,14 @@ def test_spans_of_mixed_text_and_scripts(spark, documents):
     assert got["lang_pred"][1:] == ["ru", "und", "und"]
 
 
-def test_long_texts_are_scored_in_pieces(spark, documents):
+def test_long_texts_are_taken_in_pieces(spark, documents, monkeypatch):
     model = L.fit(documents, ~L.held_out())
-    texts = [r.text.encode() for r in documents.limit(60).collect()] + [b"", None, "é".encode() * 5000, b"a" * 3000 + b" b"]
-    whole, parts = L.scored(texts, model, 1 << 30), L.scored(texts[:-2], model, 500)
-    n = len(parts[2])
-    assert (whole[2][:n] == parts[2]).all() and (whole[1][:n] == parts[1]).all() and np.allclose(whole[0][:n], parts[0], atol=1e-3)
+    texts = [r.text.encode() for r in documents.limit(60).collect()] + [b"", None, b"1 2 " * 4000]
+    texts += [b" ".join(t for t in texts[:40]), b"a b " * 5000]
+    whole = L.predict(texts, model, spans=True)
+    monkeypatch.setattr(L, "SCORE_BYTES", 1)
+    assert L.predict(texts, model, spans=True) == whole
+    L.predict(["é".encode() * 9000], model)  # a word beyond a piece is cut
     for most in (7, 500, 1 << 20):
         back = [b""] * len(texts)
         for t, k in [x for g in L.pieces(texts, most) for x in g]:
