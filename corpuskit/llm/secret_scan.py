@@ -167,12 +167,8 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-#: Kinds that name themselves as credentials. A lone run of hex digits or letters may be a checksum, so it drops no document.
-NAMED = ("assign", "access", "vendor")
-
-
-def without_live_secrets(docs: DataFrame, kinds: tuple[str, ...] = NAMED) -> DataFrame:
-    """The documents, less those that hold a live-looking credential of a few owners. Widely copied examples stay."""
+def without_live_secrets(docs: DataFrame, kinds: tuple[str, ...] = tuple(kind for kind, *_ in KINDS)) -> DataFrame:
+    """The documents, less those that hold a live-looking credential of few owners. Widely copied examples and weak values stay."""
     rows = docs.select(whole_row(docs).alias("row"), "text", "source", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b")).alias("key"))
     live = scan_secrets(rows, key="key", repo="source").where(F.exists("spans", lambda s: (s["verdict"] == "live") & s["kind"].isin(*kinds))).select("key").distinct()
     live = staged(live, "live")

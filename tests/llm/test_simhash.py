@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
 from corpuskit.llm import simhash
@@ -57,8 +58,10 @@ def test_odd_rows(odd, none):
     assert simhash.near_duplicates(simhash.fingerprints(none)).count() == 0
 
 
-def test_dense_buckets_are_dealt_again(spark, monkeypatch):
+@pytest.mark.parametrize("depth", [1, 2, 4])
+def test_dense_buckets_are_dealt_again(spark, monkeypatch, depth):
     monkeypatch.setattr(simhash, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(simhash, "DEPTH", depth)
     rng = np.random.default_rng(1)
     center = int(rng.integers(1 << 63))
     near = {center ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(1, 8), replace=False)) for _ in range(700)}
