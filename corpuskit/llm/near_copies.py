@@ -1,9 +1,11 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, proposed by MinHash bands.
+"""Near copies by exact Jaccard similarity of five-word shingles, proposed by SimHash fingerprints and by MinHash bands.
 
 *Sets.* A text's words (A-Z lowered) form shingles of five, a shorter text is one shingle; two texts are near copies if their sets of
 shingles (as XXH64 values) have a Jaccard similarity of at least 0.8, which is counted exactly.
 
-*Proposals.* Of equal texts one is a node. A node's ``BANDS * ROWS`` minima give one bucket per band; two texts of similarity 0.8 share
+*Proposals.* Of equal texts one is a node. Nodes whose 64-bit SimHash of the same shingles differs in a few bits are proposed by the
+bit-sliced comparison of :mod:`corpuskit.llm.simhash`. Two texts of similarity 0.8 differ in about 10 of 64 bits, though, and often in
+more, which no radius that leaves usable blocks reaches; so buckets of minima propose what fingerprints miss. A node's ``BANDS * ROWS`` minima give one bucket per band; two texts of similarity 0.8 share
 none with a probability of (1 - 0.8^4)^20, below 3 in 100,000. Nothing else is left to chance but ``LIKELY`` (below).
 
 *Links.* Each node of a bucket is first verified against the bucket's leader, which is drawn anew in each bucket, so a large group is
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm.common import arrow_extend, drop_staged, one_spaced, staged, whole_row
 from corpuskit.llm.components import components
+from corpuskit.llm.simhash import near_edges
 
 SHINGLE = 5
 BANDS, ROWS = 20, 4
@@ -70,29 +73,33 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
     return 5 * shared >= 4 * (small + large - shared)
 
 
-def minima(line: bytes) -> np.ndarray:
-    low = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+def minima(line: bytes) -> tuple[np.ndarray, int]:
+    """The least value of every hash function over the shingles, and the SimHash of the shingles, repeats included."""
+    low, bits, n = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64), np.zeros(64, np.int64), 0
     for values in hashes(line):
+        bits += np.unpackbits(values.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint32)
+        n += len(values)
         for at in range(0, len(values), STEP):
             np.minimum(low, ((values[at : at + STEP, None] ^ _FLIP) * _TIMES).min(axis=0), out=low)
-    return low
+    return low, int(np.packbits(2 * bits > n).view(">u8")[0])
 
 
 def sketches(texts: list) -> dict[str, list]:
-    """128 bits of each text, its bucket in each band, and a byte of each minimum."""
+    """128 bits of each text, its bucket in each band, a byte of each minimum, and its SimHash."""
     import xxhash
 
-    out = {"h1": [], "h2": [], "buckets": [], "signature": []}
+    out = {"h1": [], "h2": [], "buckets": [], "signature": [], "fp": []}
     for text in texts:
         line = line_of(text)
         whole = np.frombuffer(xxhash.xxh3_128_digest(line), np.int64)
-        low = minima(line)
+        low, fp = minima(line)
         bands = low.astype("<u8").tobytes()
         size = 8 * ROWS
         out["h1"].append(int(whole[0]))
         out["h2"].append(int(whole[1]))
         out["buckets"].append(np.array([xxhash.xxh64_intdigest(bands[k * size : (k + 1) * size], k) for k in range(BANDS)], np.uint64).view(np.int64))
         out["signature"].append(low.astype(np.uint8).tobytes())
+        out["fp"].append(fp - (fp >> 63 << 64))
     return out
 
 
@@ -245,20 +252,24 @@ def further_links(shared: DataFrame, labels: DataFrame, nodes: DataFrame, texts:
 
 
 def near_groups(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, label) of the nodes that have near copies. ``nodes``: node, buckets, signature; ``texts``: node, text."""
+    """(node, label) of the nodes that have near copies. ``nodes``: node, buckets, signature, fp; ``texts``: node, text."""
+    prints = staged(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "prints")
+    alike = nodes.select("node", "fp").join(prints, "fp").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    alike = staged(alike.unionByName(near_edges(prints).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "print-pairs")
     dealt = staged(nodes.select("node", F.explode("buckets").alias("bucket")), "bands")
     mask = F.xxhash64("bucket")
     leaders = dealt.groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = staged(dealt.join(leaders.select("bucket", F.col("least").bitwiseXOR(mask).alias("leader")), "bucket"), "shared-buckets")
     drop_staged(dealt)
     # the texts of candidates are taken out once, so that joins of pairs never move the others
-    some = staged(shared.select("node").distinct(), "candidates")
+    proposed = alike.select(F.explode(F.array("a", "b")).alias("node"))
+    some = staged(shared.select("node").unionByName(proposed).distinct(), "candidates")
     texts = staged(texts.join(some, "node", "left_semi"), "candidate-texts")
     a, b = F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")
-    first = staged(shared.where("node <> leader").select(a, b).distinct(), "leader-pairs")
+    first = staged(shared.where("node <> leader").select(a, b).unionByName(alike).distinct(), "leader-pairs")
     edges = staged(verified(first, texts), "near-links")
     labels = staged(components(edges), "near-labels")
-    more = staged(further_links(shared.select("bucket", "node"), labels, nodes, texts), "further-links")
+    more = staged(further_links(shared.select("bucket", "node"), labels, nodes.drop("fp"), texts), "further-links")
     for table in (shared, texts):
         drop_staged(table)
     if more.isEmpty():
@@ -272,9 +283,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows are numbered as they are written beside their sketches, so the choice holds whatever happens to later tasks.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), whole_row(docs).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = staged(arrow_extend(rows, "h1 bigint, h2 bigint, buckets array<bigint>, signature binary", sketches, keep=("rid", "row", "doc_id")), "sketched")
+    rows = staged(arrow_extend(rows, "h1 bigint, h2 bigint, buckets array<bigint>, signature binary, fp bigint", sketches, keep=("rid", "row", "doc_id")), "sketched")
     copies = staged(rows.groupBy("h1", "h2").agg(F.min("rid").alias("node")), "distinct-texts")
-    nodes = rows.select(F.col("rid").alias("node"), "buckets", "signature").join(copies.select("node"), "node", "left_semi")
+    nodes = rows.select(F.col("rid").alias("node"), "buckets", "signature", "fp").join(copies.select("node"), "node", "left_semi")
     labels = near_groups(nodes, rows.select(F.col("rid").alias("node"), F.col("row.text").cast("string").alias("text")))
     groups = copies.join(labels, "node", "left").select("h1", "h2", F.coalesce("label", "node").alias("group"))
     order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), F.col("rid").alias("rid"))

@@ -1,6 +1,6 @@
 import corpus_pipeline
+from tests.llm.test_near_copies import brute_kept
 from tests.llm.test_scans import secrets
-from tests.llm.test_simhash import brute_components, brute_print
 
 from corpuskit.llm import mixing, packing, secret_scan
 
@@ -16,9 +16,8 @@ def test_stages_on_documents(spark, documents):
 
     kept = STAGE["near_dedup"](spark, docs, SF).cache()
     rows = docs.collect()
-    component = brute_components([(r.doc_id, brute_print(r.text)) for r in rows])
     assert kept.columns == columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r, c in zip(rows, component) if r.doc_id == c)
+    assert sorted(r.doc_id for r in kept.collect()) == brute_kept([(r.doc_id, r.text) for r in rows])
 
     clean = STAGE["secrets"](spark, kept, SF).cache()
     assert clean.columns == columns
