@@ -238,6 +238,7 @@ def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dic
     if not k:
         return out
     most = max(1 << 12, min(PIECE, SCORE_BYTES // (4 * k)))
+    held = max(most, 3 * (SCORE_BYTES // (4 * k)))  # a word has three bytes and a space at least, nearly always
 
     def note(i: int, letters: np.ndarray, path: np.ndarray) -> None:
         if not len(path):
@@ -249,17 +250,24 @@ def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dic
             out["spans"][i] = _runs(path, model.languages)
 
     def together(group: list[int]) -> None:
-        words = cut([texts[i] for i in group], model.bits)
-        path = label(word_scores(words, model), words.doc, len(group))
-        ends = np.cumsum(np.bincount(words.doc, minlength=len(group)))
+        made = []
+        for part in pieces([texts[i] for i in group], most):
+            words = cut([t for t, _ in part], model.bits)
+            if len(words.begins):
+                made.append((word_scores(words, model), words.sizes, np.array([d for _, d in part])[words.doc]))
+        if not made:
+            return
+        scores, sizes, doc = (np.concatenate(x) for x in zip(*made))
+        path = label(scores, doc, len(group))
+        ends = np.cumsum(np.bincount(doc, minlength=len(group)))
         for i, a, b in zip(group, [0, *ends.tolist()], ends.tolist()):
-            note(i, words.sizes[a:b], path[a:b])
+            note(i, sizes[a:b], path[a:b])
 
     group: list[int] = []
     size = 0
     for i, t in enumerate(texts):
         length = len(t or b"")
-        if length > most:
+        if length > held:
             trellis, letters = Trellis(), []
             for part in pieces([t], most):
                 words = cut([x for x, _ in part], model.bits)
@@ -269,7 +277,7 @@ def predict(texts: list[bytes | None], model: Model, spans: bool = False) -> dic
             if letters:
                 note(i, np.concatenate(letters), trellis.path())
             continue
-        if group and size + length > most:
+        if group and size + length > held:
             together(group)
             group, size = [], 0
         group.append(i)
