@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpuskit.functions import chat
 from corpuskit.functions import text as T
 from corpuskit.functions.patterns import OPTION_LETTERS
+from corpuskit.staging import staged
 
 MCQ = "question string, options map<string,string>, answer string"
 DIALOGUE = f"messages {chat.MESSAGES}"
@@ -73,3 +74,23 @@ def records(answered: DataFrame) -> DataFrame:
         "task", F.lit("synthetic").alias("source"), "type", "topic", "difficulty", F.when(is_mcq, m["question"]).alias("question"), F.when(is_mcq, m["options"]).alias("options"),
         F.when(is_mcq, m["answer"]).alias("answer"), messages.alias("messages"), "raw_prompt", "raw_response",
     )
+
+
+def request_body(messages: Column, model: str, system: str | None = None, effort: str = "off") -> Column:
+    """The JSON body of a chat request: a system message in front unless there is one or none is wanted, and the reasoning effort."""
+    has_system = F.exists(messages, lambda m: F.coalesce(m["role"] == "system", F.lit(False)))
+    first = F.array(F.struct(F.lit("system").alias("role"), F.lit(system or "").alias("content")))
+    asked = F.when((F.size(messages) > 0) & ~has_system, F.concat(first, messages)).otherwise(messages) if system else messages
+    return F.to_json(F.struct(F.lit(model).alias("model"), asked.alias("messages"), F.lit(effort).alias("reasoning_effort")))
+
+
+def generate(topics: DataFrame, n: int, templates: dict[str, str], system: str, provider, budget: int = 3, seed: int = 42) -> DataFrame:
+    """Up to ``n`` valid records. Tasks whose answers are invalid are asked again, ``budget`` times in all; every round is written."""
+    tasks, found = staged(prompts(schedule(topics, n, seed), templates, system), "tasks"), None
+    for _ in range(budget):
+        got = staged(records(ask(tasks, provider)), "records")
+        found = got if found is None else found.unionByName(got)
+        tasks = staged(tasks.join(got.select("task"), "task", "left_anti"), "tasks")
+        if tasks.isEmpty():
+            break
+    return found

@@ -10,6 +10,7 @@ from corpuskit.functions import patterns as P
 from corpuskit.functions import text as T
 from corpuskit.operators import clean, curriculum, exact, leakage, ngrams, profile, sampling
 from corpuskit.plans import inputs as I
+from corpuskit.staging import staged
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -134,9 +135,14 @@ def exact_levels_documents(spark, sf_dir):
     return exact.report(exact.digests(I.documents(spark, sf_dir), "user", "assistant")).withColumn("fraction", F.round("fraction", 4))
 
 
+def _digests(spark, sf_dir):
+    """(row_id, l3) of documents, written once: the first of each group and the rows beside it are both read from there."""
+    return staged(exact.digests(I.documents(spark, sf_dir), "user", "assistant").select("row_id", "l3"), "digests")
+
+
 @query(f"WITH {I.DOCS_SQL}, {_hashes('docs')} SELECT row_id, l3 AS hash, row_id = min(row_id) OVER (PARTITION BY l3) AS kept FROM h")
 def exact_l3_keep(spark, sf_dir):
-    return exact.keep_first(exact.digests(I.documents(spark, sf_dir), "user", "assistant"), "l3")
+    return exact.keep_first(_digests(spark, sf_dir), "l3")
 
 
 @query(
@@ -367,9 +373,17 @@ def leak_totals(spark, sf_dir):
     return leakage.totals(_flags(spark, sf_dir))
 
 
-@query(f"WITH {_LEAK} SELECT row_id FROM chats WHERE {_MENTIONED} ORDER BY row_id LIMIT 100")
+@query(f"WITH {_LEAK} SELECT row_id FROM chats WHERE {_MENTIONED}")
 def leak_mentions(spark, sf_dir):
-    return leakage.sample_ids(_flags(spark, sf_dir), "mention")
+    return leakage.sample_ids(_flags(spark, sf_dir), "mention", None)
+
+
+@query(f"WITH {_LEAK} SELECT row_id FROM chats WHERE NOT ({_MENTIONED} OR {_LEAKED})")
+def leak_removed(spark, sf_dir):
+    """What is left once all rows with mentions or rubric leaks are gone."""
+    flags = staged(_flags(spark, sf_dir), "flags")
+    high = leakage.sample_ids(flags, "mention", None).unionByName(leakage.sample_ids(flags, "rubric", None))
+    return flags.select("row_id").join(high, "row_id", "left_anti")
 
 
 @query(f"WITH {_LEAK} SELECT row_id FROM chats WHERE {_LEAKED}")
@@ -396,7 +410,7 @@ _SETS = (
 def _sets(spark, sf_dir):
     docs = I.documents(spark, sf_dir)
     return docs, {
-        "exact_duplicate": exact.keep_first(exact.digests(docs, "user", "assistant"), "l3").where("not kept").select("row_id"),
+        "exact_duplicate": exact.keep_first(_digests(spark, sf_dir), "l3").where("not kept").select("row_id"),
         "leakage_high_confidence": _hits(spark, sf_dir).select("row_id").distinct(),
     }
 

@@ -95,7 +95,8 @@ class ChatCorpus:
     def exact(self) -> None:
         hashed = self._write(exact.digests(self.rows, "user", "assistant"), "digests")
         self._write(exact.keep_first(hashed, "l3").where("not kept").select("row_id"), "exact_removed")
-        report = {"levels": exact.report(hashed), "clusters": exact.clusters(hashed, "l3"), "templates": exact.top_templates(self.rows, hashed, "user")}
+        self._write(exact.clusters(hashed, "l3"), "exact_clusters")  # a group may hold any number of rows
+        report = {"levels": exact.report(hashed), "templates": exact.top_templates(self.rows, hashed, "user")}
         sinks.write_report(self.spark, f"{self.out}/exact.json", sinks.nested(report))
 
     def _left(self) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as T
+from corpuskit.sources.jsonl import with_row_ids
 
 #: Shorter texts are no questions.
 MIN_CHARS = 10
@@ -61,3 +62,31 @@ def questions(tables: dict[tuple[str, str, str], DataFrame]) -> DataFrame:
         row = df.select(F.lit(name).alias("benchmark"), T.collapse(raw).alias("text"), T.preview(raw, 500).alias("raw_question"), F.lit(config).alias("config_name"), F.col("row_id").alias("index"))
         parts.append(row.where(F.length("text") >= MIN_CHARS))
     return reduce(DataFrame.unionByName, parts)
+
+
+class Loaders:
+    """Named providers of benchmark tables: callables (spark, config, split) -> DataFrame, or an iterable of texts."""
+
+    def __init__(self):
+        self.by_name: dict[str, object] = {}
+
+    def register(self, name: str, loader) -> None:
+        self.by_name[name] = loader
+
+    def load(self, spark, wanted: list[tuple[str, str, str]]) -> dict[tuple[str, str, str], DataFrame]:
+        """Tables of the (name, config, split) that have a loader, numbered as they come; the others are passed over."""
+        out = {}
+        for name, config, split in wanted:
+            if name in self.by_name:
+                made = self.by_name[name](spark, config, split)
+                made = made if isinstance(made, DataFrame) else spark.createDataFrame([(k, t) for k, t in enumerate(made)], "row_id bigint, text string")
+                out[name, config, split] = made if "row_id" in made.columns else with_row_ids(made)
+        return out
+
+    def texts(self, spark, wanted: list[tuple[str, str, str]]) -> DataFrame:
+        """(benchmark, text) of all wanted tables, for decontamination: the layout's question, or any long text of a row."""
+        parts = []
+        for (name, _, _), df in self.load(spark, wanted).items():
+            raw = question_text(df, REGISTRY.get(name, Layout("text")))
+            parts.append(df.select(F.lit(name).alias("benchmark"), raw.alias("text")))
+        return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "benchmark string, text string")

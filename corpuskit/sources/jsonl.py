@@ -16,13 +16,13 @@ def with_row_ids(rows: DataFrame, name: str = "row_id") -> DataFrame:
     mark = rows.withColumn("_m", F.monotonically_increasing_id())
     part = F.shiftrightunsigned("_m", 33).cast("int")
     sizes = mark.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
-    offsets, at = {}, 0
+    offsets, at = [], 0
     for r in sizes:
-        offsets[r.p], at = at, at + r.n
-    if not offsets:
-        return mark.withColumn(name, F.col("_m")).drop("_m")
-    table = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])
-    return mark.withColumn(name, (table[part] + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).cast("bigint")).drop("_m")
+        offsets.append((r.p, at))
+        at += r.n
+    table = rows.sparkSession.createDataFrame(offsets, "_p int, _at bigint")  # a row per partition
+    numbered = mark.withColumn("_p", part).join(F.broadcast(table), "_p")
+    return numbered.withColumn(name, F.col("_at") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m", "_p", "_at")
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -23,13 +24,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; where that is unset (one machine), below a temporary folder."""
+    """A new path below ``spark.checkpoint.dir``; where that is unset and all runs on one machine, below a temporary folder."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             base = f"file://{tempfile.mkdtemp(prefix='corpuskit-')}"
-            spark.conf.set("spark.checkpoint.dir", base)
         _roots[app] = f"{base.rstrip('/')}/corpuskit-core-{uuid.uuid4().hex[:8]}"
         atexit.register(_clean, spark, _roots[app])
     return f"{_roots[app]}/{name}-{uuid.uuid4().hex[:10]}"
