@@ -146,8 +146,10 @@ def scan_licenses(docs: DataFrame, phrases: tuple = PHRASES, notices: tuple = NO
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """The contract's columns from :func:`scan_licenses`."""
+    """The contract's columns from :func:`scan_licenses`; ``notices`` holds label:first word:last word:edits of each fuzzy notice."""
     base = F.filter("hits", lambda h: h.method == "phrase")
+    notices = F.filter("hits", lambda h: h.method == "notice")
+    shown = F.transform(notices, lambda h: F.concat_ws(":", h.label, h.first_word, h.last_word, h.edits))
     labels = lambda hits: F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h.label))), ",")
     first = F.array_min(F.transform(base, lambda h: h.first_word))
     last = F.array_max(F.transform(base, lambda h: h.first_word))
@@ -155,7 +157,7 @@ def digest(scanned: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), first.alias("first_word"), last.alias("last_word"),
         labels(base).alias("base_labels"), labels(F.col("hits")).alias("labels"),
         F.coalesce(F.array_max(F.transform("hits", lambda h: h.score)), F.lit(0.0)).alias("score"),
-        F.size(F.filter("hits", lambda h: h.method == "notice")).cast("bigint").alias("n_notices"),
+        F.size(notices).cast("bigint").alias("n_notices"), F.array_join(shown, ",").alias("notices"),
     )
 
 

@@ -8,11 +8,13 @@ Defined results: a null text has no words; repeated rows each give a row; other
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import arrow_map, space_pieces
+from corpuskit.llm.common import arrow_map, space_pieces, staged
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
 
@@ -131,6 +133,12 @@ def op9_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("passed")).alias("base_failed"), "kept", "failed")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of every policy fails, fails alone, and what is kept without it, over all documents."""
+    ledger = staged(build_ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("failed"), "ledger")
+    return reduce(DataFrame.unionByName, [ablations(ledger, p) for p in POLICIES])
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -154,3 +162,10 @@ m AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed = 0 AS kept, failed FROM f
 """
+
+ABLATIONS_SQL = OP9_SQL.rpartition("SELECT doc_id")[0] + " UNION ALL ".join(
+    f"SELECT '{r}' AS rule, count(*) FILTER (failed & {BITS[r]} <> 0) AS n_failed, count(*) FILTER (failed & {mask(p)} = {BITS[r]}) AS n_alone, "
+    f"count(*) FILTER (failed & {mask(p) & ~BITS[r]} = 0) AS n_kept_without, '{p}' AS policy FROM f"
+    for p in POLICIES
+    for r in POLICIES[p]
+)

@@ -15,6 +15,7 @@ QUERIES = {
     "op4_language_id": language_id.op4_language_id,
     "op7_license_scan": license_scan.op7_license_scan,
     "op9_quality_ledger": quality_ledger.op9_quality_ledger,
+    "quality_ablations": quality_ledger.quality_ablations,
 }
 
-ORACLES: dict[str, str] = {"op6_topk_search": topk_search.OP6_SQL, "op9_quality_ledger": quality_ledger.OP9_SQL}
+ORACLES: dict[str, str] = {"op6_topk_search": topk_search.OP6_SQL, "op9_quality_ledger": quality_ledger.OP9_SQL, "quality_ablations": quality_ledger.ABLATIONS_SQL}
