@@ -101,13 +101,17 @@ class Best:
 
     def add(self, query: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
         own = self.ids[query] != vec
-        q, s, v = (np.concatenate([a, b[own]]) for a, b in zip(self.rows, (query, score, vec)))
+        hit = np.zeros(len(self.ids), bool)
+        hit[query[own]] = True
+        met = hit[self.rows[0]]  # only queries with a new result are ranked again
+        rest = [a[~met] for a in self.rows]
+        q, s, v = (np.concatenate([a[met], b[own]]) for a, b in zip(self.rows, (query, score, vec)))
         order = np.lexsort((v, -s, q))
         q, s, v = q[order], s[order], v[order]
         first = np.flatnonzero(np.diff(q, prepend=-1))
         place = np.arange(len(q)) - np.repeat(first, np.diff(first, append=len(q)))
         top = place < self.k
-        self.rows = [q[top], s[top], v[top]]
+        self.rows = [np.concatenate(x) for x in zip(rest, (q[top], s[top], v[top]))]
         last = place == self.k - 1
         self.bounds[q[last]] = np.maximum(self.bounds[q[last]], s[last])
 
