@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as T
+from corpuskit.sources.jsonl import with_row_ids
+from corpuskit.staging import staged
 
 INSTANCE_METRICS = ("exact_match", "num_completion_tokens", "inference_runtime", "alrage_score")
 #: Fixed values of stored runs: the evaluator's name for a run in its configuration, and the judges.
@@ -93,9 +95,9 @@ def new_runs(found: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def with_ids(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """Surrogate ids behind the highest stored one; run tables hold one row per directory."""
+    """Surrogate ids behind the highest stored one, in the order of directories; rows are numbered where they lie."""
     start = stored.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    return new.withColumn("id", F.row_number().over(Window.orderBy("run_dir")) + F.lit(start))
+    return with_row_ids(staged(new.orderBy("run_dir"), "new-runs"), "id").withColumn("id", F.col("id") + F.lit(start + 1))
 
 
 def subset_report(stats: DataFrame, metrics: DataFrame, totals: DataFrame) -> DataFrame:

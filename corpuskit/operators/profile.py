@@ -11,6 +11,7 @@ from corpuskit.functions import patterns as P
 from corpuskit.functions import text as T
 from corpuskit.staging import staged
 
+#: The edges of the reports' histograms.
 SELF_BINS = (0, 0.5, 0.7, 0.8, 0.85, 0.90, 0.93, 0.95, 0.96, 0.97, 0.98, 0.99, 1.01)
 LEAK_BINS = (0, 0.5, 0.6, 0.7, 0.8, 0.85, 0.88, 0.90, 0.93, 0.96, 0.99, 1.01)
 #: Declared shares of the corpus, in percent.

@@ -9,6 +9,8 @@ from corpuskit.functions.numbers import round_exact
 from corpuskit.functions.patterns import OPTION_LETTERS
 from corpuskit.operators import specs, synth
 from corpuskit.plans import inputs as I
+from corpuskit.staging import hadoop_path, shared_path
+from corpuskit.streaming import profile as streams
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +127,20 @@ def run_specs(spark, sf_dir):
 def rounded_prices(spark, sf_dir):
     """Rounded by the exact binary value; SQL rounds by decimal form or not exactly (tested against Python)."""
     return I.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", round_exact(F.col("l_extendedprice") * F.col("l_discount"), 1).alias("price"))
+
+
+@query(
+    "SELECT CAST(doc_id // 300 * 300 AS BIGINT) AS window_start, " + I.language("t") + " AS language, count(*) AS rows, avg(length(t)) AS mean_chars, max(length(t)) AS max_chars, "
+    f"count(*) FILTER (WHERE {I.mcq('t')}) AS mcq FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) GROUP BY ALL"
+)
+def stream_profile(spark, sf_dir):
+    """The running profile over all documents as a stream that ends: each one arrives at the second of its id."""
+    path = f"{sf_dir}/documents.parquet"
+    fs, place = hadoop_path(spark, path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema)
+    source = source.parquet(path) if fs.getFileStatus(place).isDirectory() else source.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    out = shared_path(spark, "stream-profile")
+    counted = streams.running_profile(source.withColumn("ts", F.timestamp_seconds("doc_id")), "text")
+    flow = counted.writeStream.outputMode("complete").option("checkpointLocation", shared_path(spark, "stream-state"))
+    flow.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select(F.unix_timestamp("w.start").alias("window_start"), "language", "rows", "mean_chars", "max_chars", "mcq")

@@ -75,6 +75,41 @@ def append_run(run_rows: DataFrame, sample_rows: DataFrame, runs_path: str, samp
     run_rows.write.mode("append").parquet(runs_path)
 
 
+def rewrite(spark: SparkSession, path: str, change) -> None:
+    """Replace the table at ``path`` by ``change`` of it. The new table is written beside it first, so a failure leaves the old one."""
+    fs, old = hadoop_path(spark, path)
+    if not fs.exists(old):
+        return
+    _, new = hadoop_path(spark, f"{path.rstrip('/')}-new")
+    change(spark.read.parquet(path)).write.mode("overwrite").parquet(new.toString())
+    fs.delete(old, True)
+    fs.rename(new, old)
+
+
+def drop_runs(spark: SparkSession, run_dirs: DataFrame, runs_path: str, samples_path: str) -> None:
+    """Delete runs and their samples, the runs first: no stored run is ever without its samples."""
+    for path in (runs_path, samples_path):
+        rewrite(spark, path, lambda rows: rows.join(run_dirs.select("run_dir").distinct(), "run_dir", "left_anti"))
+
+
+def drop_orphans(spark: SparkSession, runs_path: str, samples_path: str) -> None:
+    """Delete samples whose run was never stored, as a broken import leaves them."""
+    runs = spark.read.parquet(runs_path).select("run_dir").distinct()
+    rewrite(spark, samples_path, lambda rows: rows.join(runs, "run_dir", "left_semi"))
+
+
+def update_runs(spark: SparkSession, changed: DataFrame, runs_path: str) -> None:
+    """Set the columns of ``changed`` (run_dir and others) in the stored runs of the same directories."""
+    names = [c for c in changed.columns if c != "run_dir"]
+    new = changed.select("run_dir", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in names])
+
+    def change(rows: DataFrame) -> DataFrame:
+        joined = rows.join(new, "run_dir", "left")
+        return joined.select(*[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in names else c for c in rows.columns])
+
+    rewrite(spark, runs_path, change)
+
+
 def write_jdbc(rows: DataFrame, url: str, table: str, batch: int = 500, **options) -> None:
     """Append over JDBC in batches, where a driver is on the class path."""
     rows.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch, **options).mode("append").save()

@@ -14,7 +14,7 @@ def test_components_and_representatives(spark):
 
 
 def test_neighbours_against_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "QUERY_BLOCK", 17)
+    monkeypatch.setattr(vectors, "QUERY_BYTES", 17 * 64)
     rng = random.Random(0)
     rows = [(k, [rng.gauss(0, 1) for _ in range(5)]) for k in range(60)] + [(60, [0.0] * 5), (61, None)]
     df = spark.createDataFrame(rows, "row_id long, embedding array<float>")

@@ -128,5 +128,17 @@ def test_evaluation_import(spark, tmp_path):
     assert sorted(r.id for r in new.collect()) == [1, 2]
     sinks.append_run(new, samples, f"{out}/runs", f"{out}/samples")
     assert evalstore.new_runs(runs, evalruns.stored_runs(spark, f"{out}/runs")).count() == 0
+    copy = f"file://{tmp_path}/copy"
+    for t in ("runs", "samples"):
+        spark.read.parquet(f"{out}/{t}").write.parquet(f"{copy}/{t}")
+    dirs_stored = sorted(r.run_dir for r in spark.read.parquet(f"{copy}/runs").collect())
+    sinks.update_runs(spark, spark.createDataFrame([(dirs_stored[0], "failed")], "run_dir string, status string"), f"{copy}/runs")
+    assert {r.run_dir: r.status for r in spark.read.parquet(f"{copy}/runs").collect()} == {d: "failed" if d == dirs_stored[0] else "completed" for d in dirs_stored}
+    sinks.drop_runs(spark, spark.createDataFrame([(dirs_stored[0],)], "run_dir string"), f"{copy}/runs", f"{copy}/samples")
+    assert [r.run_dir for r in spark.read.parquet(f"{copy}/runs").collect()] == dirs_stored[1:]
+    assert {r.run_dir for r in spark.read.parquet(f"{copy}/samples").collect()} <= set(dirs_stored[1:])
+    sinks.rewrite(spark, f"{copy}/runs", lambda rows: rows.limit(0))
+    sinks.drop_orphans(spark, f"{copy}/runs", f"{copy}/samples")
+    assert spark.read.parquet(f"{copy}/samples").count() == 0
     report = {r.task: r for r in evalstore.task_report(evalstore.subset_report(evalruns.instance_stats(spark, dirs), metrics, totals)).collect()}
     assert report["bench"].samples == 5 and abs(report["bench"].score - 0.4) < 1e-9
