@@ -228,7 +228,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, words: int = WORDS) ->
     n_hot, n_bytes = by_gram.agg(F.count_if(F.col("n") > HOT_SEGMENTS), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     wanted = mixed.select(F.col("rep.did").alias("did"), F.col("rep.t64").alias("t64"), F.struct("v", "sh", F.col("rep.at").alias("at"), size.alias("size")).alias("w"))
     wanted = wanted.groupBy("did", "t64").agg(F.collect_list("w").alias("wanted"))
-    strings = docs.select("did", "t64", "text").join(wanted, ["did", "t64"]).select("text", "wanted").mapInArrow(_strings_of, "v bigint, sh bigint, s binary")
+    once = docs.groupBy("did", "t64").agg(F.first("text").alias("text"))  # repeated rows meet before the shuffle
+    strings = once.join(wanted, ["did", "t64"]).select("text", "wanted").mapInArrow(_strings_of, "v bigint, sh bigint, s binary")
     cold, used = strings, [by_gram]
     if n_hot:
         strings = staged(strings.dropDuplicates(["v", "sh"]), "segment-texts")
@@ -249,7 +250,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, words: int = WORDS) ->
     # a segment that many texts hold has many rows on the left and two at most on the right; adaptive execution splits the left
     moved = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")))
     spans = shared.join(marks, ["v", "sh"]).select("did", "t64", moved.alias("ranges"), _of_words(F.col("v")).alias("by_word"))
-    gathered = lambda of: F.flatten(F.collect_list(F.when(of, F.col("ranges"))))
+    # the sets of repeated rows are those of one of them
+    gathered = lambda of: F.flatten(F.collect_set(F.when(of, F.col("ranges"))))
     return spans.groupBy("did", "t64").agg(gathered(~F.col("by_word")).alias("spans"), gathered(F.col("by_word")).alias("passages"))
 
 

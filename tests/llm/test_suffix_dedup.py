@@ -99,6 +99,16 @@ def test_odd_rows(odd, none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_many_repeated_rows_gather_one_set_of_ranges(spark):
+    rng = random.Random(8)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(300))
+    rows = [(None, text)] * 3000 + [(1, text[:700]), (2, "z" + text[900:])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert run(docs, 400) == brute(rows, 400)
+    spans = suffix_dedup.repeated_spans(suffix_dedup._rows(docs)).collect()
+    assert len(spans) == 3 and max(len(r.spans) + len(r.passages) for r in spans) < 100
+
+
 def test_index_against_counts():
     rng = random.Random(2)
     for _ in range(400):
