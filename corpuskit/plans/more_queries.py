@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
+from corpuskit import schema
 from corpuskit.functions import text as T
 from corpuskit.functions.numbers import round_exact
 from corpuskit.functions.patterns import OPTION_LETTERS
 from corpuskit.operators import specs, synth
 from corpuskit.plans import inputs as I
+from corpuskit.plans import text_queries as texts
+from corpuskit.plans import workflow
 from corpuskit.staging import hadoop_path, shared_path
 from corpuskit.streaming import profile as streams
 
@@ -88,17 +93,49 @@ def valid_payloads(spark, sf_dir):
     return docs.select("doc_id", synth.valid_mcq(question, options, answer).alias("mcq"), synth.valid_dialogue(messages).alias("dialogue"))
 
 
-@query(
+_SCHEDULE = (
     "WITH t AS (SELECT DISTINCT source AS topic FROM documents WHERE source IS NOT NULL), n AS (SELECT count(*) AS c FROM t), "
     "e AS (SELECT topic, c, unnest(range(0, CAST(ceil(100.0 / c) AS BIGINT))) AS cycle FROM t, n), "
     "r AS (SELECT topic, cycle * c + row_number() OVER (PARTITION BY cycle ORDER BY md5('42:' || cycle || ':' || topic), topic) - 1 AS task FROM e) "
-    "SELECT CAST(task AS BIGINT) AS task, topic, CASE WHEN task < 85 THEN 'mcq' ELSE 'dialogue' END AS type FROM r WHERE task < 100"
 )
+_TYPE = "CASE WHEN task < 85 THEN 'mcq' ELSE 'dialogue' END"
+
+
+@query(f"{_SCHEDULE}SELECT CAST(task AS BIGINT) AS task, topic, {_TYPE} AS type FROM r WHERE task < 100")
 def topic_schedule(spark, sf_dir):
     topics = I.table(spark, sf_dir, "documents").where("source IS NOT NULL").select(F.col("source").alias("topic")).distinct()
     return synth.schedule(topics, 100).select(F.col("task").cast("bigint").alias("task"), "topic", "type")
 
 
+def _answer(prompt: str) -> str:
+    """Stands in for a model: examples in a fence, none for topics with a one in their name."""
+    if "1" in prompt:
+        return "none"
+    message = [{"role": "user", "content": prompt}, {"role": "assistant", "content": "a"}]
+    question = {"question": prompt, "options": {x: "o" for x in OPTION_LETTERS}, "answer": OPTION_LETTERS[0]}
+    made = question if prompt.startswith("Q") else {"messages": message}
+    return "Sure:\n```json\n" + json.dumps(made, ensure_ascii=False) + "\n```"
+
+
+@query(f"{_SCHEDULE}SELECT CAST(task AS BIGINT) AS task, topic, {_TYPE} AS type, CASE WHEN task < 85 THEN 'Q ' ELSE 'D ' END || topic || ' (easy): x' AS raw_prompt, 2 AS n FROM r WHERE task < 100 AND NOT contains(topic, '1')")
+def generated_records(spark, sf_dir):
+    """Valid examples of a provider; tasks without one are asked again until the budget is spent."""
+    topics = I.table(spark, sf_dir, "documents").where("source IS NOT NULL").select(F.col("source").alias("topic")).distinct()
+    topics = topics.select("topic", F.lit("easy").alias("difficulty"), F.array(F.lit("x")).alias("focus"))
+    rest = " {topic} ({difficulty}): {focus}"
+    made = synth.generate(topics, 100, {"mcq": "Q" + rest, "dialogue": "D" + rest}, "system", _answer, budget=2)
+    return made.select(F.col("task").cast("bigint").alias("task"), "topic", "type", "raw_prompt", F.size("messages").alias("n"))
+
+
+@query(f"SELECT doc_id AS row_id, {I.ws('text')} AS prompt, 'docs' AS source FROM documents WHERE {I.ws('text')} <> '' AND length({I.ws('text')}) % 2 = 0")
+def language_filtered(spark, sf_dir):
+    """Envelopes to chat rows with a language filter that the caller brings; an even length stands in for its verdict."""
+    envelope = F.struct(F.lit("docs").alias("source"), F.struct(F.col("text").alias("prompt"), F.lit("a").alias("response")).alias("row"))
+    raw = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.from_json(F.to_json(envelope), schema.ENVELOPE).alias("e")).select("row_id", "e.*")
+    kept = workflow.normalized(raw, language_filter=lambda user: F.length(user) % 2 == 0)
+    return kept.select("row_id", F.col("messages")[0]["content"].alias("prompt"), "meta.source")
+
+
 @query("SELECT item_id, sha1(text) AS digest FROM benchmark")
 def text_digests(spark, sf_dir):
     return I.table(spark, sf_dir, "benchmark").select("item_id", T.gram_digest("text").alias("digest"))
@@ -129,18 +166,32 @@ def rounded_prices(spark, sf_dir):
     return I.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", round_exact(F.col("l_extendedprice") * F.col("l_discount"), 1).alias("price"))
 
 
+def _document_stream(spark, sf_dir):
+    path = f"{sf_dir}/documents.parquet"
+    fs, place = hadoop_path(spark, path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema)
+    return source.parquet(path) if fs.getFileStatus(place).isDirectory() else source.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+
+
 @query(
     "SELECT CAST(doc_id // 300 * 300 AS BIGINT) AS window_start, " + I.language("t") + " AS language, count(*) AS rows, avg(length(t)) AS mean_chars, max(length(t)) AS max_chars, "
     f"count(*) FILTER (WHERE {I.mcq('t')}) AS mcq FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) GROUP BY ALL"
 )
 def stream_profile(spark, sf_dir):
     """The running profile over all documents as a stream that ends: each one arrives at the second of its id."""
-    path = f"{sf_dir}/documents.parquet"
-    fs, place = hadoop_path(spark, path)
-    source = spark.readStream.schema(spark.read.parquet(path).schema)
-    source = source.parquet(path) if fs.getFileStatus(place).isDirectory() else source.option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    source = _document_stream(spark, sf_dir)
     out = shared_path(spark, "stream-profile")
     counted = streams.running_profile(source.withColumn("ts", F.timestamp_seconds("doc_id")), "text")
     flow = counted.writeStream.outputMode("complete").option("checkpointLocation", shared_path(spark, "stream-state"))
     flow.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).select(F.unix_timestamp("w.start").alias("window_start"), "language", "rows", "mean_chars", "max_chars", "mcq")
+
+
+@query(f"WITH {I.DOCS_SQL}, {texts._hashes('docs')} SELECT count(DISTINCT l3) AS rows, count(DISTINCT l3) AS digests FROM h")
+def stream_first_copies(spark, sf_dir):
+    """Exact dedup of all documents as a stream that ends; all arrive within the watermark."""
+    stream = _document_stream(spark, sf_dir).select("text", F.lit("").alias("a"), F.timestamp_seconds(F.lit(86_400)).alias("ts"))
+    out = shared_path(spark, "first-copies")
+    flow = streams.first_copies(stream, "text", "a").select("l3").writeStream.outputMode("append").option("checkpointLocation", shared_path(spark, "stream-state"))
+    flow.format("parquet").option("path", out).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("l3 string").parquet(out).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l3").alias("digests"))
