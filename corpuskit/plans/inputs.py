@@ -76,7 +76,10 @@ def language(x: str) -> str:
     return f"CASE WHEN {a} + {b} = 0 THEN 'other' WHEN {a} / ({a} + {b}) >= 0.85 THEN 'arabic' WHEN {a} / ({a} + {b}) <= 0.15 THEN 'english' ELSE 'mixed' END"
 
 
+def mcq_line(x: str) -> str:
+    return rf"regexp_matches({x}, '\n[ \t\n\r\f\v]*[أبجدهـA-E][\)\.][ \t\n\r\f\v]')"
+
+
 def mcq(x: str) -> str:
     marks = f"({count_of(x, r'[أبجدهـ]\)')} + {count_of(x, r'\b[A-E]\)')})"
-    line = rf"regexp_matches({x}, '\n[ \t\n\r\f\v]*[أبجدهـA-E][\)\.][ \t\n\r\f\v]')"
-    return f"({line} OR {marks} >= 2 OR (regexp_matches({x}, '(?i)اختر|اختيار|Choose|choose|multiple.choice|متعدد') AND {marks} >= 1))"
+    return f"({mcq_line(x)} OR {marks} >= 2 OR (regexp_matches({x}, '(?i)اختر|اختيار|Choose|choose|multiple.choice|متعدد') AND {marks} >= 1))"

