@@ -33,16 +33,21 @@ def think_lengths(x: ColumnLike) -> Column:
     return F.transform(F.regexp_extract_all(_c(x), F.lit(P.rx(P.THINK, "s")), F.lit(1)), F.length)
 
 
+def _folded(x: ColumnLike, punct: str) -> Column:
+    """Letters folded, punctuation as ``punct``, vowel marks gone. All of these are beyond ASCII, so ASCII texts pass as they are."""
+    text = _c(x)
+    folded = F.translate(text, P.FOLD_FROM + P.PUNCT_FROM + P.DELETED, P.FOLD_TO + punct)
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.regexp_replace(folded, P.TASHKEEL_CLASS, ""))
+
+
 def canonical(x: ColumnLike) -> Column:
     """For exact dedup: letters folded, punctuation mapped to Latin, vowel marks gone, white space collapsed, lower case."""
-    folded = F.translate(_c(x), P.FOLD_FROM + P.PUNCT_FROM + P.DELETED, P.FOLD_TO + P.PUNCT_TO)
-    return F.lower(collapse(F.regexp_replace(folded, P.TASHKEEL_CLASS, "")))
+    return F.lower(collapse(_folded(x, P.PUNCT_TO)))
 
 
 def canonical_ngrams(x: ColumnLike) -> Column:
     """For n-grams: as :func:`canonical`, but punctuation becomes a space."""
-    folded = F.translate(_c(x), P.FOLD_FROM + P.PUNCT_FROM + P.DELETED, P.FOLD_TO + " " * len(P.PUNCT_FROM))
-    return collapse(F.lower(F.regexp_replace(folded, P.TASHKEEL_CLASS, "")))
+    return collapse(F.lower(_folded(x, " " * len(P.PUNCT_FROM))))
 
 
 def tokens(x: ColumnLike) -> Column:
