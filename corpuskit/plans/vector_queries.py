@@ -148,7 +148,7 @@ def cluster_largest(spark, sf_dir):
 
 # a step per row that has neighbours, in the order of ids
 _WALK = (
-    f"RECURSIVE {_ALL}, n AS MATERIALIZED (SELECT src, list(DISTINCT dst) AS others, row_number() OVER (ORDER BY src) AS step FROM knn WHERE score >= {THRESHOLD} AND src <> dst GROUP BY src), "
+    f"RECURSIVE {_ALL}, n AS MATERIALIZED (SELECT src, list(DISTINCT dst) AS others, row_number() OVER (ORDER BY src) AS step FROM s WHERE score >= {THRESHOLD} GROUP BY src), "
     "walk(step, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL "
     "SELECT n.step, CASE WHEN list_contains(gone, src) THEN gone ELSE list_concat(gone, others) END FROM walk JOIN n ON n.step = walk.step + 1), "
     "lost AS (SELECT DISTINCT unnest(gone) AS row_id FROM (SELECT arg_max(gone, step) AS gone FROM walk))"
@@ -157,8 +157,8 @@ _WALK = (
 
 @query(f"WITH {_WALK} SELECT vec_id AS row_id, vec_id NOT IN (SELECT row_id FROM lost) AS kept FROM embeddings")
 def sem_greedy_keep(spark, sf_dir):
-    v = I.vectors(spark, sf_dir)
-    return vectors.greedy_keep(v, vectors.neighbours(v, v, 10), THRESHOLD)
+    """All pairs at the threshold count, not the nearest few of each row."""
+    return vectors.greedy_keep_all(I.vectors(spark, sf_dir), THRESHOLD)
 
 
 # --- cross search ---------------------------------------------------------------------------------------------------------------

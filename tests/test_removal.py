@@ -1,4 +1,3 @@
-import math
 import random
 
 import duckdb
@@ -50,3 +49,25 @@ def test_blocks_of_candidates_give_the_best_with_ties_to_smaller_ids(spark, monk
     s = np.round(unit @ unit.T, 12)
     np.fill_diagonal(s, -9)
     assert got == {k: np.lexsort((np.arange(1100), -s[k]))[:3].tolist() for k in range(1100)}
+
+
+def test_greedy_removal_meets_all_pairs(spark, tmp_path):
+    path = table(spark, tmp_path, cone(40, 3))
+    got = sorted((r.row_id, r.kept) for r in vecs.sem_greedy_keep(spark, path).collect())
+    assert got == by_sql("sem_greedy_keep", path) == [(k, k == 0) for k in range(40)]
+
+
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_greedy_removal_over_all_pairs_is_the_global_pass(spark, block_rows):
+    rng = np.random.default_rng(5)
+    ids = [k - k % 9 // 8 for k in range(160)]  # some ids have two rows
+    v = rng.normal(size=(160, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v)] + [(500, None)], "row_id long, embedding array<float>")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.6
+    gone = set()
+    for a in sorted(set(ids)):
+        if a not in gone:
+            gone |= {ids[j] for i in range(160) if ids[i] == a for j in np.flatnonzero(near[i]).tolist()} - {a}
+    kept = vectors.greedy_keep_all(df, 0.6, block_rows=block_rows).where("kept").collect()
+    assert {r.row_id for r in kept} == (set(ids) | {500}) - gone
