@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,21 +65,35 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def _unicode_cleaned(text: str) -> str:
+    t = unicodedata.normalize("NFKC", text)
+    for c in set(t):
+        if not (c in "\n\t" or c.isprintable()):
+            t = t.replace(c, "")
+    return " ".join(t.split())
+
+
+def clean_array(texts: pa.Array, most: int = 1 << 20) -> pa.Array:
+    """:func:`unicode_clean` of an Arrow array, in slices of about ``most`` bytes: few texts are strings at a time."""
+    out, begin, size = [], 0, 0
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for k, n in enumerate([*lengths.tolist(), most]):
+        size += n
+        if size >= most:
+            part = texts.slice(begin, k + 1 - begin).to_pylist()
+            out.append(pa.array([None if t is None else _unicode_cleaned(t) for t in part], pa.string()))
+            begin, size = k + 1, 0
+    return pa.concat_arrays(out)
+
+
 def unicode_clean(x: ColumnLike) -> Column:
     """NFKC, then only printable characters, line feeds and tabs, then collapsed. NFKC is no built-in: Arrow batches."""
-    def clean(s):
-        import re
-        import unicodedata
-
-        def one(t):
-            if t is None:
-                return None
-            t = unicodedata.normalize("NFKC", t)
-            return re.sub(r"\s+", " ", "".join(c for c in t if c in "\n\t" or c.isprintable())).strip()
 
-        return s.map(one, na_action="ignore")
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        return clean_array(texts)
 
-    return F.pandas_udf(clean, "string")(_c(x))
+    return clean(_c(x))
 
 
 def n_arabic(x: ColumnLike) -> Column:
